@@ -1,6 +1,6 @@
 """Language identification: averaged hashed subword embeddings with a linear softmax.
 
-A word's character 3- to 5-grams (with boundary marks) and the word itself are hashed into a fixed number of rows of an
+A word's runs of 3 to 5 bytes (with boundary marks) and the word itself are hashed into a fixed number of rows of an
 embedding matrix. A text is the mean of its subwords' embeddings; a linear softmax over that mean gives the language.
 Both matrices are trained by stochastic gradient descent in numpy on a bounded sample. As mean and layer are linear, a
 word's share of the logits is one vector, so prediction adds cached vectors of words instead of embeddings of subwords.
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from masterlink.llm.common import hash_fraction
+from masterlink.llm.common import _BYTE, U64, hash_fraction, mix, powers
 
 WORD = re.compile(r"[^\W\d_]+")
 UND = "und"
@@ -51,10 +51,24 @@ class LanguageParams:
     cached_words: int = 200_000
 
 
-def subwords(word: str, buckets: int) -> list[int]:
-    w = f"<{word}>"
-    parts = [w] + [w[i : i + n] for n in (3, 4, 5) for i in range(len(w) - n + 1)]
-    return [zlib.crc32(p.encode("utf-8", "surrogatepass")) % buckets for p in parts]
+def subwords(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of all words' subwords (runs of 3 to 5 bytes of `<word>`, and all of it) and each word's first one."""
+    data = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    begin = np.flatnonzero(data == ord("<"))
+    end = np.append(begin[1:], len(data))
+    value = _BYTE[data]
+    owner = np.repeat(np.arange(len(words)), end - begin)
+    room = end[owner] - np.arange(len(data))
+    pw, ipw = powers(len(data) + 1)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value * pw[: len(data)], dtype=np.uint64)))
+    ids, owners = [mix((sums[end] - sums[begin]) * ipw[begin] + U64(99))], [np.arange(len(words))]
+    for n in (3, 4, 5):
+        at = np.flatnonzero(room >= n)
+        ids.append(mix((sums[at + n] - sums[at]) * ipw[at] + U64(n)))
+        owners.append(owner[at])
+    by_word = np.argsort(np.concatenate(owners), kind="stable")
+    first = np.searchsorted(np.concatenate(owners)[by_word], np.arange(len(words) + 1))
+    return (np.concatenate(ids)[by_word] % U64(buckets)).astype(np.int64), first
 
 
 class LanguageModel:
@@ -80,21 +94,18 @@ class LanguageModel:
         if len(self.langs) < 2 or not texts:
             return self
         cut = rng.random(len(texts)) < p.calibration
-        seen: dict[str, list[int]] = {}
-        steps = []
+        steps: list[tuple[np.ndarray, int]] = []
         for text, label, held in zip(texts, labels, cut, strict=True):
-            if held:
-                continue
             words = WORD.findall(text.lower())
+            if held or not words:
+                continue
+            ids, first = subwords(words, p.buckets)
             # Runs of several lengths, short ones too: the model must also read short texts.
-            at, k = 0, 0
-            while at < len(words):
-                size = (p.words_per_step, 4, 15)[k % 3]
-                ids = [seen[w] if w in seen else seen.setdefault(w, subwords(w, p.buckets)) for w in words[at : at + size]]
-                steps.append((np.concatenate(ids), self.langs.index(label)))
-                at, k = at + size, k + 1
-                if k >= 12:
-                    break
+            at, k, y = 0, 0, self.langs.index(label)
+            while at < len(words) and k < 12:
+                to = min(len(words), at + (p.words_per_step, 4, 15)[k % 3])
+                steps.append((ids[first[at] : first[to]], y))
+                at, k = to, k + 1
         counts = np.bincount([y for _, y in steps], minlength=len(self.langs))
         weight = len(steps) / np.maximum(counts, 1) / len(self.langs)
         total, done = p.epochs * len(steps), 0
@@ -114,10 +125,10 @@ class LanguageModel:
                 self.bias -= 0.1 * rate * q
                 np.subtract.at(self.emb, ids, rate * back / len(ids))
         self._table = None
-        held_texts = [t for t, h in zip(texts, cut, strict=True) if h and WORD.search(t)]
-        held_labels = np.array([self.langs.index(y) for t, y, h in zip(texts, labels, cut, strict=True) if h and WORD.search(t)])
-        if len(held_texts) >= 20:
-            z = np.array([self.logits(t) for t in held_texts])
+        kept = [i for i in np.flatnonzero(cut) if WORD.search(texts[i])]
+        held_labels = np.array([self.langs.index(labels[i]) for i in kept])
+        if len(kept) >= 20:
+            z = self.logits([WORD.findall(texts[i].lower()) for i in kept])
             grid = np.exp(np.linspace(np.log(0.2), np.log(20), 60))
             self.temperature = float(min(grid, key=lambda t: -log_softmax(z / t)[np.arange(len(z)), held_labels].mean()))
             prob = np.exp(log_softmax(z / self.temperature))
@@ -126,37 +137,54 @@ class LanguageModel:
                 self.threshold = float(min(p.max_threshold, np.quantile(prob.max(1)[right], p.reject_quantile)))
         return self
 
-    def _word(self, w: str) -> int:
+    def _learn(self, words: list[str]) -> None:
+        """Cache the words' shares of the logits."""
         if self._table is None:
-            self._table = self.emb.astype(np.float64) @ self.out
-        ids = subwords(w, self.params.buckets)
-        self._rows[self._used, :-1] = self._table[ids].sum(0)
-        self._rows[self._used, -1] = len(ids)
-        self._index[w] = self._used
-        self._used += 1
-        return self._used - 1
-
-    def logits(self, text: str) -> np.ndarray:
-        """Of a text that has a letter."""
-        total = np.zeros(len(self.bias) + 1)
-        words = WORD.findall(text.lower())
-        for a in range(0, len(words), 50_000):
-            part = words[a : a + 50_000]
-            if self._rows is None or self._used + len(part) > self.params.cached_words:
-                self._rows = np.empty((self.params.cached_words, len(total)))
-                self._used, self._index = 0, {}
-            index = self._index
-            rows = [index[w] if w in index else self._word(w) for w in part]
-            total += self._rows[rows].sum(0)
-        return total[:-1] / max(1, total[-1]) + self.bias
-
-    def predict(self, text: str | None) -> tuple[str, float, bool]:
+            self._table = np.hstack((self.emb.astype(np.float64) @ self.out, np.ones((len(self.emb), 1))))
+        if self._rows is None or self._used + len(words) > len(self._rows):
+            self._rows = np.empty((max(self.params.cached_words, len(words)), self._table.shape[1]))
+            self._used, self._index = 0, {}
+        if words:
+            ids, first = subwords(words, self.params.buckets)
+            self._rows[self._used : self._used + len(words)] = np.add.reduceat(self._table[ids], first[:-1], axis=0)
+            self._index.update(zip(words, range(self._used, self._used + len(words)), strict=True))
+            self._used += len(words)
+
+    def logits(self, texts: list[list[str]]) -> np.ndarray:
+        """Of the lists of words of whole texts, in parts that bound the memory."""
+        out = np.empty((len(texts), len(self.bias)))
+        for d, words in enumerate(texts):
+            total = 0.0
+            for a in range(0, len(words), 50_000):
+                part = words[a : a + 50_000]
+                index = self._index
+                if new := [w for w in dict.fromkeys(part) if w not in index]:
+                    used = self._used
+                    self._learn(new)
+                    if self._used < used + len(new):  # the cache began anew
+                        self._learn([w for w in dict.fromkeys(part) if w not in self._index])
+                    index = self._index
+                total = total + self._rows[[index[w] for w in part]].sum(0)
+            out[d] = total[:-1] / total[-1] + self.bias
+        return out
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         """Language, calibrated probability, rejected."""
-        if not text or not self.langs or not WORD.search(text):
-            return UND, 0.0, True
-        p = np.exp(log_softmax(self.logits(text)[None] / self.temperature))[0]
-        k = int(p.argmax())
-        return self.langs[k], float(p[k]), bool(p[k] < self.threshold)
+        out: list[tuple[str, float, bool]] = [(UND, 0.0, True)] * len(texts)
+        readable = [i for i, t in enumerate(texts) if t and self.langs and WORD.search(t)]
+        while readable:
+            part, size = [], 0
+            while readable and size < 4_000_000 and len(part) < 1000:
+                size += len(texts[readable[-1]])
+                part.append(readable.pop())
+            words = [WORD.findall(texts[i].lower()) for i in part]
+            if size < 8_000_000:
+                self._learn(list(set().union(*words).difference(self._index)))
+            p = np.exp(log_softmax(self.logits(words) / self.temperature))
+            for i, row in zip(part, p, strict=True):
+                k = int(row.argmax())
+                out[i] = self.langs[k], float(row[k]), bool(row[k] < self.threshold)
+        return out
 
 
 def log_softmax(z: np.ndarray) -> np.ndarray:
@@ -197,7 +225,7 @@ def identify_language(docs: DataFrame, model: LanguageModel, text_col: str = "te
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            out = [m.predict(t.as_py()) for t in b.column(b.num_columns - 1)]
+            out = m.predict(b.column(b.num_columns - 1).to_pylist())
             cols = [b.column(i) for i in range(b.num_columns - 1)]
             more = [pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64()), pa.array([x[2] for x in out], pa.bool_())]
             yield pa.RecordBatch.from_arrays(cols + more, names=[*keep, *new])
