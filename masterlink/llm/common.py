@@ -24,6 +24,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
+#: For comparisons that ignore punctuation: all ASCII bytes but letters and digits part words.
+NOT_ALNUM = np.ones(256, dtype=bool)
+NOT_ALNUM[128:] = NOT_ALNUM[48:58] = NOT_ALNUM[65:91] = NOT_ALNUM[97:123] = False
 SLICE_BYTES = 2 << 20
 _pow: np.ndarray | None = None
 _ipow: np.ndarray | None = None
@@ -98,16 +101,19 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
 
 
 class Words:
-    """Words of documents i..j: 64-bit hash, document (from 0), first and end byte in the slice's bytes."""
+    """Words of documents i..j: 64-bit hash, document (from 0), first and end byte in the slice's bytes.
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, i: int, j: int):
+    A-Z count as a-z; `parting` tells which bytes part words (by default white space).
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, i: int, j: int, parting: np.ndarray = _SPACE):
         lo, hi = int(offsets[i]), int(offsets[j])
         raw = _LOWER[data[lo:hi]]
         n = len(raw)
         self.bounds = offsets[i : j + 1] - lo
         pw, ipw = powers(n + 1)
         gap = np.ones(n + 2, dtype=bool)
-        gap[1:-1] = _SPACE[raw]
+        gap[1:-1] = parting[raw]
         first = np.zeros(n + 1, dtype=bool)
         first[self.bounds] = True
         word = ~gap[1:-1]

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masterlink.llm import language, mixing, quality, secrets, urls
+from masterlink.llm import decontaminate, jaccard, language, mixing, neighbours, quality, secrets, urls
 from masterlink.llm.common import durable, table
 
 
@@ -44,6 +44,29 @@ SELECT page_id, host, path, rule, CASE
 """
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+OP6_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM w, range(1, greatest(len(w) - 4, 1) + 1) AS r(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+g(doc_id, r) AS (SELECT doc_id, doc_id FROM w UNION SELECT g.doc_id, l.b FROM g JOIN l ON l.a = g.r)
+SELECT g.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(g.r) AS component_id FROM g LEFT JOIN n ON n.doc_id = g.doc_id GROUP BY g.doc_id
+""".replace("\\x", "\x")
+
+
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ledger = durable(secrets.scan_blobs(docs, secrets.RULES))
@@ -108,8 +131,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_quality": op3_quality,
     "op4_url_filters": op4_url_filters,
+    "op5_decontamination": op5_decontamination,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_nearest": op7_nearest,
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
     "op10_language": op10_language,
 }
-ORACLE_SQL = {"op4_url_filters": OP4_SQL, "op8_secrets": _op8_sql(), "op9_mixing": OP9_SQL}
+ORACLE_SQL = {"op4_url_filters": OP4_SQL, "op6_ngram_jaccard": OP6_SQL, "op8_secrets": _op8_sql(), "op9_mixing": OP9_SQL}
