@@ -60,7 +60,7 @@ c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.
 l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
 g(doc_id, r) AS (SELECT doc_id, doc_id FROM w UNION SELECT g.doc_id, l.b FROM g JOIN l ON l.a = g.r)
 SELECT g.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(g.r) AS component_id FROM g LEFT JOIN n ON n.doc_id = g.doc_id GROUP BY g.doc_id
-""".replace("\\x", "\x")
+"""
 
 
 def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
