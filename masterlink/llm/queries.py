@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masterlink.llm import chat, decontaminate, jaccard, language, mixing, neighbours, quality, secrets, urls
+from masterlink.llm import chat, decontaminate, html, jaccard, language, mixing, neighbours, quality, secrets, urls
 from masterlink.llm.common import durable, table
 
 
@@ -16,6 +16,11 @@ def crc_mod(name: str, n: int) -> Column:
     return F.crc32(F.col(name).cast("string")) % n
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.extract_main_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
 PROBE_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -160,6 +165,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html": op1_html,
     "op2_chat_format": op2_chat_format,
     "op3_quality": op3_quality,
     "op4_url_filters": op4_url_filters,
