@@ -1,18 +1,72 @@
 """A training corpus from the documents table: language, near copies, leaks, secrets, mixture.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again for the next.
+A stage's decisions take effect: what it rejects goes, what it redacts is redacted.
+
+Nulls: a document without text is rejected by the first stage; null sources are a source of their own in the last;
+documents with a null key can't be told apart by key and are decided on together. Repeated rows are copies, of which the
+second stage keeps the one with the smallest key, and rows that repeat that key with it. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from masterlink.llm import decontaminate, jaccard, language, mixing, secrets
+from masterlink.llm.common import durable
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised, with lang set to it."""
+    model = language.train_language_model(docs)
+    named = language.identify_language(docs, model, keep=COLUMNS)
+    return named.filter(~F.col("lang_rejected")).withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked documents: the one with the smallest key."""
+    groups = durable(jaccard.jaccard_components(docs))
+    # A key may stand on several rows with different texts; a row stays if its key leads one of their groups.
+    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents into which no benchmark item has leaked."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaked = decontaminate.find_leaks(docs, items).select("doc_id").distinct()
+    return docs.join(leaked, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced by a mark and n_chars set to the new length."""
+    ledger = durable(secrets.scan_blobs(docs, secrets.RULES))
+    found = secrets.join_findings(docs, ledger, secrets.RULES)
+    text = secrets.redact(F.col("text"), F.col("findings"))
+    return found.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their places in the mixture of sources."""
+    return mixing.mix_sources(docs.select(*COLUMNS))
+
 
-STAGES: list = []
+STAGES = [
+    ("language_id", identify_languages),
+    ("ngram_jaccard", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("secrets", redact_secrets),
+    ("mixing", mix),
+]
+#: The language model, Smith-Waterman and the scheduler's order over them are beyond SQL; tests use brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        docs = durable(stage(spark, docs, sf_dir))
     return docs
