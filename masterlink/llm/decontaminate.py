@@ -121,30 +121,32 @@ def align(text: np.ndarray, hits: list[tuple[int, int]], item: np.ndarray, param
     return None if best is None else (best[0] / full, best[1], best[2])
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, params: LeakParams = LeakParams(), id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """(id_col, item_col, leak_score, first_word, end_word) of every item leaked into a document.
+def flag_leaks(docs: DataFrame, items: DataFrame, params: LeakParams = LeakParams(), text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns `keep` (all, by default) of every row with leaks: array<struct<item, score, first_word, end_word>>.
 
-    The word places count the document's runs of letters and digits.
+    The word places count the text's runs of letters and digits. An existing column named leaks is replaced.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.length("text") > 0)
+    keep = [c for c in (keep if keep is not None else docs.columns) if c != "leaks"]
     named = items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")).filter(F.length("text") > 0)
     size = named.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size")).head()["size"]
     blocks = -(-size // params.block_bytes) or 1
-    id_type = rows.schema["id"].dataType.simpleString()
-    item_type = named.schema["item"].dataType.simpleString()
-    schema = f"`{id_col}` {id_type}, `{item_col}` {item_type}, leak_score double, first_word long, end_word long"
-    out = None
+    kind = f"array<struct<item:{named.schema['item'].dataType.simpleString()},score:double,first_word:bigint,end_word:bigint>>"
+    rows = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(text_col).alias("__text"), F.array().cast(kind).alias("leaks"))
     for k in range(blocks):
         own = named.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         bench = Benchmark([(r["item"], r["text"]) for r in own.orderBy("item", "text").collect()], params)
-        found = _find_in_block(spark, rows, bench, schema)
-        out = found if out is None else out.unionByName(found)
-    return out
+        rows = _flag_block(rows, docs.select(F.col(text_col).alias("text")), bench)
+    return rows.drop("__text")
+
 
+def find_leaks(docs: DataFrame, items: DataFrame, params: LeakParams = LeakParams(), id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """(id_col, item_col, leak_score, first_word, end_word) of every item leaked into a document."""
+    found = flag_leaks(docs, items, params, text_col, item_col, item_text_col, keep=[id_col]).select(id_col, F.explode("leaks").alias("l"))
+    return found.select(id_col, F.col("l.item").alias(item_col), F.col("l.score").alias("leak_score"), "l.first_word", "l.end_word")
 
-def _find_in_block(spark, rows: DataFrame, bench: Benchmark, schema: str) -> DataFrame:
-    params, keys = bench.params, bench.grams
+
+def _flag_block(rows: DataFrame, texts: DataFrame, bench: Benchmark) -> DataFrame:
+    spark, params, keys = rows.sparkSession, bench.params, bench.grams
     shared_keys = spark.sparkContext.broadcast(keys)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,15 +165,15 @@ def _find_in_block(spark, rows: DataFrame, bench: Benchmark, schema: str) -> Dat
 
     counted = np.zeros(len(keys), dtype=np.int64)
     # As many rows as the block has n-grams, at most.
-    for r in rows.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow().to_pylist():
+    for r in texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow().to_pylist():
         counted[r["key"]] = r["n"]
     shared = spark.sparkContext.broadcast((bench.ids, bench.words, *bench.seeds(counted)))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, words, seeds, places = shared.value
         for b in batches:
-            data, offsets = buffer_of(string_array(b.column(1)))
-            found: list[tuple[int, int, float, int, int]] = []
+            leaks = b.column(b.num_columns - 1).to_pylist()
+            data, offsets = buffer_of(string_array(b.column(b.num_columns - 2)))
             for i, j in slices(offsets):
                 w = Words(data, offsets, i, j, NOT_ALNUM)
                 at, key = find_in(seeds, grams(w.hash, params.n))
@@ -184,17 +186,8 @@ def _find_in_block(spark, rows: DataFrame, bench: Benchmark, schema: str) -> Dat
                 for (d, item), near in sorted(hits.items()):
                     best = align(w.hash[w.first[d] : w.first[d + 1]], near, words[item], params)
                     if best:
-                        found.append((i + d, item, *best))
-            if found:
-                take = pa.array([f[0] for f in found])
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(take), pa.array([ids[f[1]] for f in found], item_type), *(pa.array([f[k] for f in found], t) for k, t in ((2, pa.float64()), (3, pa.int64()), (4, pa.int64())))],
-                    names=names,
-                )
-
-    from pyspark.sql.pandas.types import to_arrow_type
-    from pyspark.sql.types import StructType
-
-    fields = StructType.fromDDL(schema).fields
-    names, item_type = [f.name for f in fields], to_arrow_type(fields[1].dataType)
-    return rows.select("id", "text").mapInArrow(search, schema)
+                        leaks[i + d].append({"item": ids[item], "score": best[0], "first_word": best[1], "end_word": best[2]})
+            last = b.schema.field(b.num_columns - 1).type
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(leaks, last)], names=b.schema.names)
+
+    return rows.mapInArrow(search, rows.schema)
