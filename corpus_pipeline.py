@@ -4,8 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 A stage's decisions take effect: what it rejects goes, what it redacts is redacted.
 
 Nulls: a document without text is rejected by the first stage; null sources are a source of their own in the last;
-documents with a null key can't be told apart by key and are decided on together. Repeated rows are copies, of which the
+of documents with a null key, the second stage keeps all if one of them stays. Repeated rows are copies, of which the
 second stage keeps the one with the smallest key, and rows that repeat that key with it. Empty tables give empty results.
+Columns beyond those of documents are dropped by the first stage.
 """
 
 from __future__ import annotations
@@ -29,16 +30,14 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents: the one with the smallest key."""
     groups = durable(jaccard.jaccard_components(docs))
-    # A key may stand on several rows with different texts; a row stays if its key leads one of their groups.
-    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi").select(*COLUMNS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents into which no benchmark item has leaked."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaked = decontaminate.find_leaks(docs, items).select("doc_id").distinct()
-    return docs.join(leaked, "doc_id", "left_anti").select(*COLUMNS)
+    return decontaminate.flag_leaks(docs, items, keep=COLUMNS).filter(F.size("leaks") == 0).select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
