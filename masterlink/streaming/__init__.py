@@ -1,0 +1,72 @@
+"""Streaming forms: continuous duplicate counts and micro-batch resolution."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from masterlink.config import INTENDED, Profile
+from masterlink.operators.resolve import resolve_incremental
+from masterlink.sources.rules import Vocabulary
+
+
+def duplicate_pivot(variations: DataFrame, delay: str = "60 seconds", time: str = "detected_at") -> DataFrame:
+    """Masters per fingerprint and country over a stream of (master_id, country_code, fingerprint, detected_at).
+
+    State is one sketch per fingerprint, so it doesn't grow with the number of masters.
+    """
+    seen = variations.withWatermark(time, delay).filter("fingerprint <> ''")
+    counts = seen.groupBy("fingerprint", "country_code").agg(F.approx_count_distinct("master_id").alias("master_count"), F.max(time).alias("detected_at"), F.min("name").alias("sample_name"))
+    return counts.filter("master_count > 1")
+
+
+def windowed_counts(rows: DataFrame, time: str, width: str, delay: str, *keys: str) -> DataFrame:
+    """Rows per key and tumbling window, for a stream or a table; late rows beyond the delay are dropped on streams."""
+    return rows.withWatermark(time, delay).groupBy(F.window(time, width).alias("w"), *keys).agg(F.count("*").alias("n")).select(F.col("w.start").alias("window_start"), *keys, "n")
+
+
+class Lifecycle:
+    """Start, stop and look at a named streaming query; starting anew stops one of the same name."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, name
+
+    def active(self) -> StreamingQuery | None:
+        return next((q for q in self.spark.streams.active if q.name == self.name), None)
+
+    def start(self, stream: DataFrame, path: str, mode: str = "update", every: str = "5 minutes", sink: str = "memory") -> StreamingQuery:
+        self.stop()
+        writer = stream.writeStream.queryName(self.name).outputMode(mode).format(sink).trigger(processingTime=every)
+        return writer.option("checkpointLocation", path).start()
+
+    def stop(self) -> None:
+        if query := self.active():
+            query.stop()
+
+
+def resolve_stream(rows: DataFrame, store: str, checkpoint: str, vocabulary: Vocabulary, profile: Profile = INTENDED) -> StreamingQuery:
+    """Resolve micro-batches of (id, name, country_code) into Parquet at `store`, partitioned by batch.
+
+    A batch reads the masters of earlier batches and writes its own folder, overwriting it when it is run again after a
+    failure, so each row is resolved once. Rows must come with growing ids.
+    """
+
+    def one(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        known = read_store(spark, store, before=number)
+        resolve_incremental(batch, known, vocabulary, profile).write.mode("overwrite").parquet(f"{store}/batch={number}")
+
+    return rows.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+SCHEMA = "id bigint, name string, country_code string, match_type string, master_id bigint, match_score double, match_details string, reason string, batch int"
+
+
+def read_store(spark: SparkSession, store: str, before: int | None = None) -> DataFrame:
+    """The resolved rows of all batches, or of those before one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(store)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], SCHEMA)
+    rows = spark.read.schema(SCHEMA).option("basePath", store).parquet(store)
+    return rows if before is None else rows.filter(F.col("batch") < before)
