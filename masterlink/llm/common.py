@@ -6,15 +6,15 @@ every word by a subtraction, so no Python code runs per character or per word.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from masterlink.plans.durable import durable as durable
+
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 1 << 64)
@@ -36,19 +36,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a checkpoint in the folder that all executors share.
-
-    The folder is the session's spark.checkpoint.dir. Only where that is unset, as in tests, a folder of this machine is
-    taken.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or Path(tempfile.mkdtemp(prefix="checkpoints-")).as_uri())
-    return df.checkpoint(eager=True)
-
-
 def hash_fraction(col: Column, seed: int) -> Column:
     """A number from 0 to 1 fixed by the value and the seed; null counts as a value."""
     return (F.xxhash64(F.lit(seed), col).bitwiseAND(F.lit((1 << 53) - 1))) / F.lit(float(1 << 53))

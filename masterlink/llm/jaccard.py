@@ -7,11 +7,11 @@ between different sets is found:
 2. Hash ranges of all shingles meet in one task each, as packed arrays, and find the shingles that two or more classes
    share. A class that shares less than the needed part of its set has no partner and is done; most texts end here.
    A shingle that is common within one slice of the input travels as one count for the slice, not once for each class.
-3. What remains keeps its shared shingles. A few rounds of min-hash grouping walk through runs of alike classes and link
-   each to a leader in the run if it verifies. They give most links and label the groups, but decide nothing alone.
+3. What remains keeps its shared shingles. Classes with an equal min-hash are compared in bounded runs, skipping pairs that
+   are connected already. These links connect nearly all of a family of copies, but decide nothing alone.
 4. Complete search: by the prefix principle, a linked pair shares a shingle among each set's first size - needed + 1 ones
-   in the order of rarity. Prefix shingles held under different labels form tiles by size band; classes in equal or
-   adjacent bands meet there. Pairs under one label are connected already and are never made.
+   in the order of rarity. Prefix shingles held under different labels form tiles by size band, with the band below as
+   guests; tiles are compared inside one task, in pieces of bounded size, and give only pairs that are not connected yet.
 5. Pairs are compared by bitmaps first: each shingle flips one of 512 bits, so the bits in which two bitmaps differ are
    at most the set's symmetric difference, which bounds the overlap from above. Sorted arrays of the rest are intersected.
 6. Connected components over the verified links; copies join through their class.
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from masterlink.llm.common import U64, Words, buffer_of, durable, mix, shingle_sets, slices, string_array
-from masterlink.llm.graph import connected_components
+from masterlink.operators.graph import connected_components
 
 LOW = U64((1 << 48) - 1)
 BITS = 512
@@ -45,14 +45,13 @@ class JaccardParams:
     num: int = 75
     den: int = 100
     #: Shingles that one task compares in step 2, on average.
-    range_shingles: int = 3_000_000
+    range_shingles: int = 2_000_000
     #: Bytes of text in a slice, and classes of a slice from which a shingle is counted there instead of listed.
-    slice_bytes: int = 16 << 20
+    slice_bytes: int = 8 << 20
     common: int = 32
-    #: Rounds of grouping, rows of a run before it is split, and leaders that a run remembers.
-    rounds: int = 6
+    #: Min-hash keys by which alike classes are grouped, and rows of a run or tile before it is split.
+    keys: int = 3
     run_rows: int = 2000
-    leaders: int = 256
 
 
 def doc_sets(texts: pa.Array, n: int, limit: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -267,7 +266,7 @@ def kept_classes(shared: DataFrame, ranges: int, params: JaccardParams) -> DataF
             unique = n - (b - a)  # shingles of no other class come first in the order and match nothing
             prefix = t[a:b][rare[: max(0, n - int(need[k]) + 1 - unique)]]
             tokens = np.sort(t[a:b])
-            keys = [int(mix(tokens ^ U64(0xA5A5 + 7919 * r)).min().view(np.int64)) for r in range(params.rounds)]
+            keys = [int(mix(tokens ^ U64(0xA5A5 + 7919 * r)).min().view(np.int64)) for r in range(params.keys)]
             out.append((int(c[a]), n, tokens.tobytes(), prefix.view(np.int64), bitmap(tokens).tobytes(), keys))
         kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64())]
         return pa.table([pa.array([x[i] for x in out], kinds[i]) for i in range(6)], names=["cls", "size", "tokens", "prefix", "bitmap", "keys"])
@@ -297,42 +296,98 @@ def enough(common, size_a, size_b, params: JaccardParams):
     return params.den * common >= params.num * (size_a + size_b - common)
 
 
-def lead(rows: DataFrame, k: int, params: JaccardParams) -> DataFrame:
-    """(cls, leader): in runs of equal k-th key, each class is linked to a verified leader or leads itself.
+def sorted_runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], names: tuple[str, ...]) -> Iterator[list[list]]:
+    """Columns `names` of runs of rows with equal keys, over batch borders; one run is held at a time."""
+    run, held = None, []
+    for b in batches:
+        columns = [b.column(n).to_pylist() for n in (*keys, *names)]
+        for row in zip(*columns, strict=True):
+            if row[: len(keys)] != run:
+                if held:
+                    yield [list(c) for c in zip(*held, strict=True)]
+                run, held = row[: len(keys)], []
+            held.append(row[len(keys) :])
+    if held:
+        yield [list(c) for c in zip(*held, strict=True)]
 
-    Long runs are split by class; leaders of the pieces meet in later rounds.
+
+def bound_of(bits: np.ndarray, lengths: np.ndarray, k: int, others: slice) -> np.ndarray:
+    """Upper bounds of the overlap of row k and the others: differing bits count differing tokens at least once."""
+    return (lengths[others] + lengths[k] - np.bitwise_count(bits[others] ^ bits[k]).sum(1, dtype=np.int64)) // 2
+
+
+def group_alike(kept: DataFrame, params: JaccardParams) -> DataFrame:
+    """Links (a, b) found among classes with an equal min-hash: each class and the root of its group in a run.
+
+    A run compares each class with those before it that are not connected to it yet. Long runs are split at random, by
+    another choice for each key, so that the pieces of one key meet in another.
     """
-    rows = rows.select("cls", "size", "tokens", "bitmap", F.get("keys", F.lit(k)).alias("key"))
-    long_runs = rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > params.run_rows)
-    rows = rows.join(long_runs, "key", "left").withColumn("salt", F.pmod(F.xxhash64("cls"), F.coalesce(F.ceil(F.col("n") / params.run_rows), F.lit(1)))).drop("n")
-    rows = rows.repartition("key", "salt").sortWithinPartitions("key", "salt", "size", "cls")
+    rows = kept.select("cls", "size", "tokens", "bitmap", F.posexplode("keys").alias("which", "key"))
+    long_runs = rows.groupBy("which", "key").agg(F.count("*").alias("n")).filter(F.col("n") > params.run_rows)
+    rows = rows.join(long_runs, ["which", "key"], "left")
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("cls", "which"), F.coalesce(F.ceil(F.col("n") / params.run_rows), F.lit(1)))).drop("n")
+    rows = rows.repartition("which", "key", "salt").sortWithinPartitions("which", "key", "salt", "size", "cls")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run, leaders, bits, sizes, lengths = None, [], None, None, None
-        for b in batches:
+        for cls, size, tokens, bits in sorted_runs(batches, ("which", "key", "salt"), ("cls", "size", "tokens", "bitmap")):
+            if len(cls) < 2:
+                continue
+            arrays = [np.frombuffer(t, np.uint64) for t in tokens]
+            bits = np.frombuffer(b"".join(bits), np.uint64).reshape(-1, BITS // 64)
+            sizes, lengths = np.array(size), np.array([len(x) for x in arrays])
+            root = np.arange(len(cls))
+            for k in range(1, len(cls)):
+                open_ = enough(bound_of(bits, lengths, k, slice(0, k)), sizes[:k], sizes[k], params)
+                while (left := np.flatnonzero(open_ & (root[:k] != root[k]))).size:
+                    j = int(left[0])
+                    open_[j] = False
+                    if enough(overlap(arrays[j], arrays[k]), sizes[j], sizes[k], params):
+                        root[root == root[k]] = root[j]
+            moved = np.flatnonzero(root != np.arange(len(cls)))
+            if len(moved):
+                ids = np.array(cls)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(ids[root[moved]])], names=["a", "b"])
+
+    return rows.mapInArrow(apply, "a long, b long")
+
+
+def tile_pairs(postings: DataFrame, params: JaccardParams) -> DataFrame:
+    """Pairs (a, b) of classes of different groups that meet in a tile and whose bitmaps allow a link.
+
+    A tile holds the classes of one token and size band, and, marked as guests, those of the band below. A large tile is
+    cut into pieces, and pairs of pieces are compared; a task holds two pieces.
+    """
+    guests = postings.withColumn("band", F.col("band") + 1).withColumn("guest", F.lit(True))
+    rows = postings.withColumn("guest", F.lit(False)).unionByName(guests)
+    sizes = rows.groupBy("token", "band").agg(F.count("*").alias("n"), F.count_if(~F.col("guest")).alias("own"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    sizes = sizes.filter("n > 1 AND own > 0 AND lo < hi").select("token", "band", F.ceil(F.col("n") / params.run_rows).cast("int").alias("pieces"))
+    rows = rows.join(sizes, ["token", "band"]).withColumn("piece", F.pmod(F.xxhash64("cls"), F.col("pieces")).cast("int"))
+    other = F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda t: F.struct(F.least("piece", t).alias("p"), F.greatest("piece", t).alias("q")))
+    rows = rows.select("token", "band", "cls", "size", "label", "bitmap", "length", "guest", "piece", F.inline(other))
+    rows = rows.repartition("token", "band", "p", "q").sortWithinPartitions("token", "band", "p", "q", "size", "cls")
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[tuple[int, int]] = set()  # pairs that this task has given already; forgetting some only repeats them
+        for cls, size, label, bits, length, guest, piece, p, q in sorted_runs(batches, ("token", "band", "p", "q"), ("cls", "size", "label", "bitmap", "length", "guest", "piece", "p", "q")):
+            ids, sizes, labels, lengths, guests, pieces = map(np.array, (cls, size, label, length, guest, piece))
+            bits = np.frombuffer(b"".join(bits), np.uint64).reshape(-1, BITS // 64)
             out: list[tuple[int, int]] = []
-            for cls, size, tokens, bits_, key, salt in zip(*(b.column(n).to_pylist() for n in ("cls", "size", "tokens", "bitmap", "key", "salt")), strict=True):
-                t, bm = np.frombuffer(tokens, np.uint64), np.frombuffer(bits_, np.uint64)
-                if run != (key, salt):
-                    run, leaders = (key, salt), []
-                    bits = np.zeros((params.leaders, len(bm)), np.uint64)
-                    sizes, lengths = np.zeros(params.leaders, np.int64), np.zeros(params.leaders, np.int64)
-                m = len(leaders)
-                bound = (lengths[:m] + len(t) - np.bitwise_count(bits[:m] ^ bm).sum(1, dtype=np.int64)) // 2
-                leader = cls
-                for j in np.flatnonzero(enough(bound, sizes[:m], size, params)):
-                    other, array = leaders[j]
-                    if enough(overlap(array, t), sizes[j], size, params):
-                        leader = other
-                        break
-                if leader == cls:
-                    j = m if m < params.leaders else int(np.random.default_rng(cls & 0xFFFF).integers(params.leaders))
-                    leaders[j:j + 1] = [(cls, t)]
-                    bits[j], sizes[j], lengths[j] = bm, size, len(t)
-                out.append((cls, leader))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["cls", "leader"])
-
-    return rows.mapInArrow(apply, "cls long, leader long")
+            for k in range(1, len(ids)):
+                fits = enough(bound_of(bits, lengths, k, slice(0, k)), sizes[:k], sizes[k], params)
+                fits &= (labels[:k] != labels[k]) & ~(guests[:k] & guests[k])
+                if p[0] != q[0]:
+                    fits &= pieces[:k] != pieces[k]
+                for j in np.flatnonzero(fits):
+                    pair = (min(int(ids[j]), int(ids[k])), max(int(ids[j]), int(ids[k])))
+                    if pair not in done:
+                        out.append(pair)
+                        done.add(pair)
+            if len(done) > 1_000_000:
+                done.clear()
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"])
+
+    return rows.mapInArrow(apply, "a long, b long").distinct()
 
 
 def verify(pairs: DataFrame, kept: DataFrame, params: JaccardParams) -> DataFrame:
@@ -366,22 +421,16 @@ def class_links(rows: DataFrame, params: JaccardParams) -> DataFrame:
     ranges = max(1, round(size / 6.2 / params.range_shingles))
     shared = shared_shingles(pack_shingles(rows, ranges, params), ranges)
     kept = durable(kept_classes(shared, ranges, params))
-    now, links, label = kept, None, kept.select("cls", F.col("cls").alias("label"))
-    for k in range(params.rounds):
-        led = durable(lead(now, k, params))
-        found = led.filter("cls <> leader").select(F.col("cls").alias("a"), F.col("leader").alias("b"))
-        links = found if links is None else links.unionByName(found)
-        step = led.filter("cls <> leader").select(F.col("cls").alias("label"), "leader")
-        label = durable(label.join(step, "label", "left").select("cls", F.coalesce("leader", "label").alias("label")))
-        now = kept.join(led.filter("cls = leader").select("cls"), "cls", "left_semi")
-    postings = kept.select("cls", "size", F.explode("prefix").alias("token")).join(label, "cls")
+    links = durable(group_alike(kept, params))
+    groups = connected_components(links).withColumnRenamed("node", "cls")
+    label = kept.select("cls", "size", "prefix").join(groups, "cls", "left")
+    postings = label.select("cls", "size", F.coalesce("component", "cls").alias("label"), F.explode("prefix").alias("token"))
+    # Tokens held under one label only are done, whatever the number of their classes.
     mixed = postings.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("token")
-    postings = durable(postings.join(mixed, "token", "left_semi").withColumn("band", band(F.col("size"), params)))
-    small = postings.select("token", F.col("cls").alias("a"), F.col("size").alias("size_a"), F.col("label").alias("label_a"), F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
-    large = postings.select("token", F.col("cls").alias("b"), F.col("size").alias("size_b"), F.col("label").alias("label_b"), "band")
-    ordered = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b")))
-    fits = F.col("size_a") * params.den >= F.col("size_b") * params.num
-    pairs = small.join(large, ["token", "band"]).filter(ordered & fits & (F.col("label_a") != F.col("label_b"))).select("a", "b").distinct()
+    postings = postings.join(mixed, "token", "left_semi").withColumn("band", band(F.col("size"), params))
+    bits = kept.select("cls", "bitmap", (F.length("tokens") / 8).cast("int").alias("length"))
+    postings = durable(postings.join(bits, "cls"))
+    pairs = durable(tile_pairs(postings, params))
     return links.unionByName(verify(pairs, kept, params))
 
 
