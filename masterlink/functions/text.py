@@ -22,9 +22,14 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, " "), lambda w: w != "")
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once, also where body uses it inside another lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def drop_repeats(tokens: Column) -> Column:
     """Without tokens that equal the one before."""
-    return F.filter(tokens, lambda t, i: (i == 0) | (t != F.get(tokens, i - 1)))
+    return let(tokens, lambda w: F.filter(w, lambda t, i: (i == 0) | (t != F.get(w, i - 1))))
 
 
 def light_clean(name: Column, unicode: bool = True) -> Column:

@@ -53,7 +53,7 @@ def decide(rows: DataFrame, profile: Profile = INTENDED) -> DataFrame:
     cover = F.when(F.col("lettered") & F.lit(profile.token_coverage_wins) & (F.col("first") < F.col("id")), F.col("first"))
     on = {s.name: s.enabled for s in profile.stages}
     ids = {"CANONICAL_EXACT": same, "PHRASE_SLOP": near, "TOKEN_COVERAGE": cover}
-    ids = {k: F.when(F.lit(on.get(k, False)), v) for k, v in ids.items()}
+    ids = {k: F.when(F.col("reason").isNull() & F.lit(on.get(k, False)), v) for k, v in ids.items()}
     won = None
     for name, found in ids.items():
         won = F.when(found.isNotNull(), name) if won is None else won.when(found.isNotNull(), name)
@@ -86,9 +86,10 @@ def resolve_batch(firms: DataFrame, vocabulary: Vocabulary, profile: Profile = I
     Blank names keep nulls. `names` may pass analysed names that are at hand.
     """
     names = analysed_names(firms, vocabulary, profile) if names is None else names
-    outcome = class_masters(names.filter(F.col("reason").isNull()), profile).select("name", "country_code", "gap_signature", "core", "alpha_core", "lettered", "dirty", "first", "masters", F.lit(None).cast("string").alias("reason"))
-    none = names.filter(F.col("reason").isNotNull()).select("name", "country_code", *(F.lit(None).cast(t).alias(c) for c, t in (("gap_signature", "string"), ("core", "boolean"), ("alpha_core", "boolean"), ("lettered", "boolean"), ("dirty", "boolean"), ("first", "bigint"), ("masters", MASTERS))), "reason")
-    outcome = outcome.unionByName(none)
+    # Excluded names stand alone, so that they meet in no class.
+    alone = F.when(F.col("reason").isNull(), F.col("class_key")).otherwise(F.concat(F.lit("\x00"), F.coalesce("name", F.lit(""))))
+    outcome = class_masters(names.withColumn("class_key", alone), profile)
+    outcome = outcome.select("name", "country_code", "gap_signature", "core", "alpha_core", "lettered", "dirty", "first", "masters", "reason")
     theirs = outcome.withColumnsRenamed({"name": "__name", "country_code": "__country"})
     rows = firms.join(theirs, firms["name"].eqNullSafe(theirs["__name"]) & firms["country_code"].eqNullSafe(theirs["__country"]))
     return decide(rows, profile).select(*firms.columns, "match_type", "master_id", "match_score", "match_details", "reason")

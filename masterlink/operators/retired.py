@@ -58,8 +58,11 @@ def token_subset(names: DataFrame) -> DataFrame:
 
 
 def trigrams(text: Column) -> Column:
-    n = F.length(text)
-    return F.when(n >= 3, F.array_distinct(F.transform(F.sequence(F.lit(1), n - 2), lambda i: F.substr(text, i, F.lit(3))))).otherwise(F.array().cast("array<string>"))
+    def cut(t: Column) -> Column:
+        every = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(t) - 2), lambda i: F.substr(t, i, F.lit(3))))
+        return F.when(F.length(t) >= 3, every).otherwise(F.array().cast("array<string>"))
+
+    return T.let(text, cut)
 
 
 def ngram_match(names: DataFrame, share: float = 0.5) -> DataFrame:

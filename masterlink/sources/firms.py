@@ -31,8 +31,8 @@ SELECT p_partkey AS id,
  concat('+', CAST(p_size AS STRING)) AS phone
 FROM part
 """
-#: Mentions of the firms, one for each order line.
-MENTIONS_SQL = f"SELECT l_orderkey * 8 + l_linenumber AS id, f.name, f.country_code, f.phone FROM lineitem JOIN ({FIRMS_SQL}) f ON l_partkey = f.id"
+#: Mentions of the firms, one for each numbered order line.
+MENTIONS_SQL = f"SELECT l.id, f.name, f.country_code, f.phone FROM (SELECT l_orderkey * 8 + l_linenumber AS id, min(l_partkey) AS part FROM lineitem GROUP BY ALL) l JOIN ({FIRMS_SQL}) f ON l.part = f.id"
 
 
 def firms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,9 +42,9 @@ def firms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey")
-    joined = lines.join(firms(spark, sf_dir), F.col("l_partkey") == F.col("id"))
-    return joined.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"), "name", "country_code", "phone")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines = lines.groupBy((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line")).agg(F.min("l_partkey").alias("part"))
+    return lines.join(firms(spark, sf_dir), F.col("part") == F.col("id")).select(F.col("line").alias("id"), "name", "country_code", "phone")
 
 
 def read_firms(table: DataFrame, mapping: ColumnMapping, country: str | None = None, unprocessed: bool = True) -> DataFrame:
