@@ -44,10 +44,11 @@ N_FEATURES = 11
 class QualityParams:
     #: Bound of the training sample, per label.
     rows_per_label: int = 1500
-    bins: int = 10
+    #: Bins of a feature; even. Zero has a bin of its own, and either label's lines set half of the other bounds.
+    bins: int = 12
     steps: int = 120
     rate: float = 0.15
-    l2: float = 1e-4
+    l2: float = 1e-3
     seed: int = 11
 
 
@@ -171,10 +172,13 @@ class LineCrf:
             firsts.append(first[1:] + lines)
             lines += len(x)
         x, size, first = np.concatenate(xs), np.concatenate(sizes), np.concatenate(firsts)
-        self.edges = np.quantile(x, np.linspace(0, 1, p.bins + 1)[1:-1], axis=0).T.copy()
-        near = self.neighbours(self.binned(x), first, p.bins)
         label = np.asarray(labels)
         y = np.repeat(label, np.diff(first))
+        for f in range(N_FEATURES):
+            parts = [x[(y == c) & (x[:, f] > 0), f] for c in (0, 1)]
+            cuts = [np.quantile(v, np.linspace(0, 1, p.bins // 2 + 1)[1:-1]) if len(v) else np.full(p.bins // 2 - 1, np.inf) for v in parts]
+            self.edges[f] = np.sort(np.concatenate(([1e-9], *cuts)))
+        near = self.neighbours(self.binned(x), first, p.bins)
         per_doc = np.repeat(1.0 / np.diff(first), np.diff(first)) * len(x) / len(label)
         per_doc *= np.where(y == 1, 0.5 / good, 0.5 / (1 - good))
         moments: list[np.ndarray] | None = None
@@ -194,7 +198,7 @@ class LineCrf:
                 if chain:
                     q, pairs, _ = self.forward_backward(e, first)
                     g_pair = (seen - pairs) / len(y)
-                    g = (truth - q) / len(y)
+                    g = (truth - q) * per_doc[:, None] / len(y)
                 else:
                     q = np.exp(e - e.max(1, keepdims=True))
                     q /= q.sum(1, keepdims=True)
@@ -214,7 +218,8 @@ class LineCrf:
         e = self.emissions(near)
         margin = e[:, 1] - e[:, 0]
         worst = np.minimum.reduceat(margin, first[:-1])
-        y = np.where((y == 0) & (margin > 1.5) & (margin > np.repeat(worst, np.diff(first))), 1, y)
+        mixed = np.repeat(worst < -1.5, np.diff(first))  # a document that looks good all over keeps its label
+        y = np.where((y == 0) & (margin > 1.5) & mixed, 1, y)
         ascend(p.steps, chain=True)
         marginal, _, _ = self.forward_backward(self.emissions(near), first)
         mean = np.add.reduceat(marginal[:, 1] * size, first[:-1]) / np.add.reduceat(size, first[:-1])
