@@ -30,7 +30,8 @@ from masterlink.llm.common import NOT_ALNUM, Words, buffer_of, grams, slices, st
 @dataclass(frozen=True)
 class LeakParams:
     n: int = 3
-    window: int = 4
+    #: Of so many consecutive n-grams one is a seed; of items with fewer than 16, each is.
+    window: int = 2
     threshold: float = 0.5
     match: float = 2.0
     mismatch: float = -1.0
@@ -61,7 +62,7 @@ class Benchmark:
             if not len(g):
                 continue
             count = counts[np.searchsorted(self.grams, g)]
-            size = min(self.params.window, len(g))
+            size = min(self.params.window, max(1, len(g) // 8))
             chosen = {min(range(k, k + size), key=lambda p: (count[p], p)) for k in range(len(g) - size + 1)}
             for p in sorted(chosen):
                 places[int(g[p])].append((item, p))
