@@ -36,6 +36,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(df: DataFrame, limit: int = 8 << 20) -> DataFrame:
+    """The DataFrame, after lowering the session's limit on the bytes of an Arrow batch to that of these operators.
+
+    Long texts would otherwise fill batches of 64 MB, several times over in the JVM and in Python.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf = df.sparkSession.conf
+    if not (now := conf.get(key)).rstrip("b").isdigit() or int(now.rstrip("b")) > limit:
+        conf.set(key, str(limit))
+    return df
+
+
 def hash_fraction(col: Column, seed: int) -> Column:
     """A number from 0 to 1 fixed by the value and the seed; null counts as a value."""
     return (F.xxhash64(F.lit(seed), col).bitwiseAND(F.lit((1 << 53) - 1))) / F.lit(float(1 << 53))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from masterlink.llm.common import NOT_ALNUM, Words, buffer_of, grams, slices, string_array
+from masterlink.llm.common import NOT_ALNUM, Words, buffer_of, grams, slices, small_batches, string_array
 
 
 @dataclass(frozen=True)
@@ -166,7 +166,7 @@ def _flag_block(rows: DataFrame, texts: DataFrame, bench: Benchmark) -> DataFram
 
     counted = np.zeros(len(keys), dtype=np.int64)
     # As many rows as the block has n-grams, at most.
-    for r in texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow().to_pylist():
+    for r in small_batches(texts).mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow().to_pylist():
         counted[r["key"]] = r["n"]
     shared = spark.sparkContext.broadcast((bench.ids, bench.words, *bench.seeds(counted)))
 
@@ -191,4 +191,4 @@ def _flag_block(rows: DataFrame, texts: DataFrame, bench: Benchmark) -> DataFram
             last = b.schema.field(b.num_columns - 1).type
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(leaks, last)], names=b.schema.names)
 
-    return rows.mapInArrow(search, rows.schema)
+    return small_batches(rows).mapInArrow(search, rows.schema)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from masterlink.llm.common import U64, Words, buffer_of, durable, mix, shingle_sets, slices, string_array
+from masterlink.llm.common import U64, Words, buffer_of, durable, mix, shingle_sets, slices, small_batches, string_array
 from masterlink.operators.graph import connected_components
 
 LOW = U64((1 << 48) - 1)
@@ -45,7 +45,7 @@ class JaccardParams:
     num: int = 75
     den: int = 100
     #: Shingles that one task compares in step 2, on average.
-    range_shingles: int = 2_000_000
+    range_shingles: int = 1_000_000
     #: Bytes of text in a slice, and classes of a slice from which a shingle is counted there instead of listed.
     slice_bytes: int = 8 << 20
     common: int = 32
@@ -79,7 +79,7 @@ def doc_classes(rows: DataFrame, params: JaccardParams) -> DataFrame:
             cls = np.concatenate([np.zeros(0, np.int64), *(p[1] for p in parts)])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(cls, mask=size == 0)], names=["id", "n_shingles", "cls"])
 
-    return rows.select("id", "text").mapInArrow(apply, f"id {rows.schema['id'].dataType.simpleString()}, n_shingles long, cls long")
+    return small_batches(rows).select("id", "text").mapInArrow(apply, f"id {rows.schema['id'].dataType.simpleString()}, n_shingles long, cls long")
 
 
 PACKED = "part long, slice long, cls binary, size binary, counts binary, tokens binary, common binary, common_n binary"
@@ -158,7 +158,7 @@ def pack_shingles(rows: DataFrame, ranges: int, params: JaccardParams) -> DataFr
                 if out:
                     yield _batch(out)
 
-    return rows.select("text").mapInArrow(apply, PACKED)
+    return small_batches(rows).select("text").mapInArrow(apply, PACKED)
 
 
 def shared_shingles(packed: DataFrame, ranges: int) -> DataFrame:
@@ -393,7 +393,7 @@ def tile_pairs(postings: DataFrame, params: JaccardParams) -> DataFrame:
 def verify(pairs: DataFrame, kept: DataFrame, params: JaccardParams) -> DataFrame:
     """The pairs (a, b) of classes that are linked."""
     side = lambda s: kept.select(F.col("cls").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("size", "tokens", "bitmap")))
-    rows = pairs.join(side("a"), "a").join(side("b"), "b")
+    rows = small_batches(pairs).join(side("a"), "a").join(side("b"), "b")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from masterlink.llm.common import _BYTE, U64, hash_fraction, mix, powers
+from masterlink.llm.common import _BYTE, U64, hash_fraction, mix, powers, small_batches
 
 WORD = re.compile(r"[^\W\d_]+")
 UND = "und"
@@ -35,7 +35,7 @@ UND = "und"
 @dataclass(frozen=True)
 class LanguageParams:
     #: Bound of the training sample, per language; longer texts are used whole.
-    rows_per_language: int = 1000
+    rows_per_language: int = 800
     buckets: int = 1 << 15
     dim: int = 16
     epochs: int = 4
@@ -68,7 +68,7 @@ def subwords(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
         owners.append(owner[at])
     by_word = np.argsort(np.concatenate(owners), kind="stable")
     first = np.searchsorted(np.concatenate(owners)[by_word], np.arange(len(words) + 1))
-    return (np.concatenate(ids)[by_word] % U64(buckets)).astype(np.int64), first
+    return (np.concatenate(ids)[by_word] % U64(buckets)).astype(np.int32), first
 
 
 class LanguageModel:
@@ -231,4 +231,4 @@ def identify_language(docs: DataFrame, model: LanguageModel, text_col: str = "te
             yield pa.RecordBatch.from_arrays(cols + more, names=[*keep, *new])
 
     schema = rows.drop("__text").withColumns({new[0]: F.lit(""), new[1]: F.lit(0.0), new[2]: F.lit(False)}).schema
-    return rows.mapInArrow(apply, schema)
+    return small_batches(rows).mapInArrow(apply, schema)

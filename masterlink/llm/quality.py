@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from masterlink.llm.common import U64, Words, buffer_of, hash_fraction, slices, string_array
+from masterlink.llm.common import U64, Words, buffer_of, hash_fraction, slices, small_batches, string_array
 
 #: Byte classes: other, lower, capital, digit, space, full stop and comma, exclamation, other punctuation, symbol, high byte.
 _CLASS = np.zeros(256, dtype=np.uint8)
@@ -279,4 +279,4 @@ def score_quality(docs: DataFrame, model: LineCrf, text_col: str = "text", keep:
             scores = shared.value.scores(string_array(b.column(b.num_columns - 1)))
             yield pa.RecordBatch.from_arrays([b.column(i) for i in range(b.num_columns - 1)] + [pa.array(scores, pa.float64())], names=[*keep, "quality_score"])
 
-    return rows.mapInArrow(apply, rows.drop("__text").withColumn("quality_score", F.lit(0.0)).schema)
+    return small_batches(rows).mapInArrow(apply, rows.drop("__text").withColumn("quality_score", F.lit(0.0)).schema)
