@@ -272,3 +272,19 @@ ORACLE_SQL: dict[str, str] = {
     "events_windows": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL",
 }
 ORACLE_SQL["resolve_mentions"] = f"{resolved(rows='mentions').replace('WITH RECURSIVE', f'WITH RECURSIVE mentions AS ({MENTIONS_SQL}),', 1)} SELECT coalesce(match_type, 'SKIPPED') AS match_type, count(*) AS n, count(DISTINCT master_id) AS masters FROM res GROUP BY ALL"
+
+_PAIR_SLOP = "len(a.tk) = len(b.tk) AND a.tk = b.tk AND list_max(list_transform(range(1, len(a.pos) + 1), lambda i: a.pos[i] - b.pos[i])) - list_min(list_transform(range(1, len(a.pos) + 1), lambda i: a.pos[i] - b.pos[i])) <= 1"
+ORACLE_SQL |= {
+    "stage_waterfall": f"{resolved()}, o AS (SELECT CASE match_type WHEN 'CANONICAL_EXACT' THEN 1 WHEN 'PHRASE_SLOP' THEN 2 WHEN 'TOKEN_COVERAGE' THEN 3 ELSE 4 END AS o FROM res WHERE match_type <> 'EXCLUDED') SELECT CAST(stage_order AS INT) AS stage_order, stage_name, count(*) FILTER (o >= stage_order) AS asked, count(*) FILTER (o = stage_order) AS matched, count(*) FILTER (o > stage_order) AS left FROM o, {_TRACE} GROUP BY ALL",
+    "stage_hits": f"{resolved()} SELECT stage_name, count(*) AS asked, count(*) FILTER (stage_name = match_type) AS won FROM res, {_TRACE} WHERE match_type <> 'EXCLUDED' AND stage_order <= CASE match_type WHEN 'CANONICAL_EXACT' THEN 1 WHEN 'PHRASE_SLOP' THEN 2 ELSE 3 END GROUP BY stage_name",
+    "legacy_writer": f"{resolved()} SELECT id, CAST(master_id AS VARCHAR) AS master_code, CAST({_SCORE} AS INT) AS match_score FROM res WHERE master_id IS NOT NULL",
+    "matched_rows": f"{resolved()} SELECT id, master_id AS master_code, trim(name) AS name, country_code AS country, match_type FROM res WHERE match_type <> 'EXCLUDED'",
+    "exact_name_masters": f"WITH firms AS ({FIRMS_SQL}) SELECT country_code, lower(trim(name)) AS key, min(id) AS master_id, count(*) AS rows FROM firms WHERE trim(name) <> '' GROUP BY ALL",
+    "anti_self_probe": f"WITH {CHAIN}, k AS (SELECT f.id, f.country_code, an.gap_signature AS g FROM firms f JOIN an USING (name, country_code) WHERE an.core AND an.reason IS NULL), m AS (SELECT country_code, g, list_sort(list(id)) AS ids FROM k GROUP BY ALL HAVING count(*) > 1) SELECT k.id, CASE WHEN ids[1] = k.id THEN ids[2] ELSE ids[1] END AS other_id FROM k JOIN m USING (country_code, g)",
+    "boosted_probe": f"WITH {CHAIN}, r AS (SELECT f.id, f.country_code, f.phone, an.canonical_full AS a, an.fingerprint AS b FROM firms f JOIN an USING (name, country_code) WHERE an.reason IS NULL), h AS (SELECT id AS probe_id, min(id) OVER (PARTITION BY country_code, a) AS master_id FROM r WHERE a <> '' UNION ALL SELECT id, min(id) OVER (PARTITION BY country_code, b) FROM r WHERE b <> ''), s AS (SELECT probe_id, master_id, count(*)::DOUBLE AS p FROM h WHERE probe_id > master_id GROUP BY ALL) SELECT probe_id, master_id, p + CASE WHEN x.phone = y.phone THEN 5.0 ELSE 0.0 END AS score FROM s JOIN r x ON x.id = probe_id JOIN r y ON y.id = master_id",
+    "count_remaining": f"{resolved()} SELECT country_code, count(*) FILTER (master_id IS NULL) AS remaining, count(*) AS n FROM res GROUP BY country_code",
+    "verify_pairs": f"""{resolved()}, n AS (SELECT name, country_code, substr(fingerprint, 1, 6) AS k FROM an WHERE reason IS NULL), m AS (SELECT country_code, k, min(name) AS master FROM n GROUP BY ALL),
+p AS (SELECT n.country_code, n.name AS probe, m.master FROM n JOIN m ON n.country_code = m.country_code AND n.k = m.k WHERE n.name <> m.master)
+SELECT p.country_code, probe, master, a.class_key = b.class_key AND a.core AND a.gap_signature = b.gap_signature AS canonical_exact, a.class_key = b.class_key AND a.alpha_core AND coalesce({_PAIR_SLOP}, false) AS phrase_slop, a.class_key = b.class_key AND a.lettered AS token_coverage
+FROM p JOIN ar a ON a.country_code = p.country_code AND a.name = probe JOIN ar b ON b.country_code = p.country_code AND b.name = master""",
+}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from masterlink.config import AS_WRITTEN, INTENDED, Profile, QaSettings
 from masterlink.functions import text as T
 from masterlink.operators import analyse as A
-from masterlink.operators import dedup, qa, resolve, retired
+from masterlink.operators import dedup, probes, qa, resolve, retired
 from masterlink.operators.graph import connected_components
 from masterlink.plans.durable import durable
 from masterlink.sources.firms import firms, mentions
@@ -358,6 +358,49 @@ def anchor_self_join(spark, sf_dir):
     return qa.anchor_mismatches(stored(spark, sf_dir)).select("id", "name", "anchor_name", "match_type")
 
 
+@query
+def stage_waterfall(spark, sf_dir):
+    return probes.stage_waterfall(resolved(spark, sf_dir))
+
+
+@query
+def stage_hits(spark, sf_dir):
+    log = resolve.stage_log(resolve.stage_trace(resolved(spark, sf_dir)), all_stages=True)
+    return log.groupBy("stage_name").agg(F.count("*").alias("asked"), F.count_if("matched").alias("won"))
+
+
+@query
+def legacy_writer(spark, sf_dir):
+    return probes.legacy_update(resolved(spark, sf_dir))
+
+
+@query
+def matched_rows(spark, sf_dir):
+    return qa.matched_rows(resolved(spark, sf_dir))
+
+
+@query
+def exact_name_masters(spark, sf_dir):
+    return probes.exact_name_masters(firms(spark, sf_dir))
+
+
+@query
+def anti_self_probe(spark, sf_dir):
+    return probes.other_of_same_signature(firms(spark, sf_dir), names(spark, sf_dir))
+
+
+@query
+def boosted_probe(spark, sf_dir):
+    rows = firms(spark, sf_dir).join(names(spark, sf_dir).filter("reason IS NULL").select("name", "country_code", "canonical_full", "fingerprint"), ["name", "country_code"])
+    return probes.boosted_probe(rows, [F.col("canonical_full"), F.col("fingerprint")])
+
+
+@query
+def count_remaining(spark, sf_dir):
+    rows = resolved(spark, sf_dir)
+    return rows.groupBy("country_code").agg(F.count_if(F.col("master_id").isNull()).alias("remaining"), F.count("*").alias("n"))
+
+
 # Duplicates
 
 
@@ -453,6 +496,15 @@ def core_rel(spark, sf_dir):
     return _pairs(spark, sf_dir).select("master_name", "variant_name", "master_country", "core_rel")
 
 
+@query
+def verify_pairs(spark, sf_dir):
+    """Distinct names of one country that share a first letter and a length, against each stage."""
+    rows = names(spark, sf_dir).filter("reason IS NULL").select("name", "country_code", F.substring("fingerprint", 1, 6).alias("k"))
+    first = rows.groupBy("country_code", "k").agg(F.min("name").alias("master"))
+    pairs = rows.join(first, ["country_code", "k"]).filter("name <> master").select("country_code", F.col("name").alias("probe"), "master")
+    return probes.verify_pairs(pairs, vocabulary(spark))
+
+
 @query
 def rubric_q1(spark, sf_dir):
     p = _pairs(spark, sf_dir)
