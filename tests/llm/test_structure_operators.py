@@ -84,6 +84,9 @@ def test_merging_partial_wrappers_in_any_grouping_keeps_counts():
         ("<article><div class='article-body'>kept</div><div class='share-bar'>no</div></article>", "kept"),
         ("<script>if (a < b) document.write('<p>x</p>')</script><p>a < b</p>", "a < b"),
         ("<p>unclosed <b", "unclosed"),
+        ("<div class='has-sidebar'><h1>t</h1><p>kept</p><div class='sidebar'>no</div></div>", "t\n\nkept"),
+        ("<article><div class='post-header'><h1>t</h1></div><p>a</p><section id='comments'><article class='comment'><p>no</p></article></section></article>", "t\n\na"),
+        ("<section class='comments'><article><p>no</p></article></section><p>yes</p>", "yes"),
         ("<!-- open comment <p>x</p>", ""),
     ],
 )
