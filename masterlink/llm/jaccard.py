@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 from masterlink.llm.common import U64, Words, buffer_of, durable, mix, shingle_sets, slices, small_batches, string_array
 from masterlink.operators.graph import connected_components
 
-LOW = U64((1 << 48) - 1)
+BYTES = 5  # of a shingle within its hash range
+LOW = U64((1 << 8 * BYTES) - 1)
 BITS = 512
 
 
@@ -45,7 +46,7 @@ class JaccardParams:
     num: int = 75
     den: int = 100
     #: Shingles that one task compares in step 2, on average.
-    range_shingles: int = 1_000_000
+    range_shingles: int = 1_500_000
     #: Bytes of text in a slice, and classes of a slice from which a shingle is counted there instead of listed.
     slice_bytes: int = 8 << 20
     common: int = 32
@@ -84,11 +85,18 @@ def doc_classes(rows: DataFrame, params: JaccardParams) -> DataFrame:
 
 PACKED = "part long, slice long, cls binary, size binary, counts binary, tokens binary, common binary, common_n binary"
 _NAMES = ["part", "slice", "cls", "size", "counts", "tokens", "common", "common_n"]
+_KINDS = (np.int64, np.int32, np.uint16, None, np.uint64, np.int32)
 
 
-def _row(part: int, piece: int, cls=(), size=(), counts=(), tokens=(), common=(), common_n=()) -> list:
-    kinds = (np.int64, np.int32, np.int32, None, np.uint64, np.int64)
-    return [part, piece, *(x if isinstance(x, bytes) else np.asarray(x, dtype=k).tobytes() for x, k in zip((cls, size, counts, tokens, common, common_n), kinds, strict=True))]
+def _row(part: int, piece: int, cls=(), size=(), counts=(), tokens=b"", common=(), common_n=()) -> list:
+    counts = np.asarray(counts, dtype=np.int64)
+    if len(counts) and counts.max() > 0xFFFF:  # a class with more shingles stands several times
+        times = np.maximum(1, -(-counts // 0xFFFF))
+        whole = np.repeat(counts, times)
+        at = np.arange(len(whole)) - np.repeat(np.cumsum(times) - times, times)
+        cls, size = np.repeat(cls, times), np.repeat(size, times) if len(size) else size
+        counts = np.minimum(0xFFFF, whole - at * 0xFFFF)
+    return [part, piece, *(x if isinstance(x, bytes) else np.asarray(x).astype(k).tobytes() for x, k in zip((cls, size, counts, tokens, common, common_n), _KINDS, strict=True))]
 
 
 def _batch(rows: list[list]) -> pa.RecordBatch:
@@ -96,22 +104,22 @@ def _batch(rows: list[list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(8)], names=_NAMES)
 
 
-def _pack48(tokens: np.ndarray) -> bytes:
-    low = (tokens & LOW).astype("<u8").view(np.uint8).reshape(-1, 8)
-    return low[:, :6].tobytes()
+def _pack(tokens: np.ndarray) -> bytes:
+    low = np.ascontiguousarray(tokens & LOW).astype("<u8").view(np.uint8).reshape(-1, 8)
+    return low[:, :BYTES].tobytes()
 
 
-def _unpack48(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 6, 8), dtype=np.uint8)
-    out[:, :6] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
+def _unpack(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // BYTES, 8), dtype=np.uint8)
+    out[:, :BYTES] = np.frombuffer(data, dtype=np.uint8).reshape(-1, BYTES)
     return out.view("<u8").ravel().astype(np.uint64)
 
 
 def pack_shingles(rows: DataFrame, ranges: int, params: JaccardParams) -> DataFrame:
     """PACKED rows: for each slice and hash range, the slice's classes with their shingles in that range.
 
-    Listings of a slice's common shingles go past the ranges, in rows whose part is at least `ranges`; the ranges only
-    get their counts.
+    The sizes of a slice's classes and the listing of its common shingles go past the ranges, in a row whose part is at
+    least `ranges`; the ranges only get the common shingles' counts.
     """
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,14 +142,12 @@ def pack_shingles(rows: DataFrame, ranges: int, params: JaccardParams) -> DataFr
                 frequent = count >= params.common
                 listed = np.repeat(frequent, count)
                 common, common_n = tokens[fresh[frequent]], count[frequent]
-                # The top bits choose the range, the low 48 bits and the range tell shingles apart.
+                # The top bits choose the range, the low bits and the range tell shingles apart.
                 part_of = lambda t: ((t >> U64(32)) * U64(ranges) >> U64(32)).astype(np.int64)
                 out: list[list] = []
-                if len(common):
-                    t, o = tokens[listed], own[listed]
-                    by_doc = np.argsort(o, kind="stable")
-                    docs, n = np.unique(o[by_doc], return_counts=True)
-                    out.append(_row(ranges + piece % ranges, piece, cls[docs], size[docs], n, t[by_doc].tobytes()))
+                t, o = tokens[listed], own[listed]
+                by_doc = np.argsort(o, kind="stable")
+                out.append(_row(ranges + piece % ranges, piece, cls[keep], size[keep], np.bincount(o, minlength=len(cls))[keep], t[by_doc].tobytes()))
                 t, o = tokens[~listed], own[~listed]
                 cuts = np.searchsorted(part_of(t), np.arange(ranges + 1))
                 common_cuts = np.searchsorted(part_of(common), np.arange(ranges + 1))
@@ -151,7 +157,7 @@ def pack_shingles(rows: DataFrame, ranges: int, params: JaccardParams) -> DataFr
                     if len(tt) or c.start < c.stop:
                         by_doc = np.argsort(oo, kind="stable")
                         docs, n = np.unique(oo[by_doc], return_counts=True)
-                        out.append(_row(part, piece, cls[docs], size[docs], n, _pack48(tt[by_doc]), common[c], common_n[c]))
+                        out.append(_row(part, piece, cls[docs], (), n, _pack(tt[by_doc]), common[c], common_n[c]))
                     if len(out) >= 16:
                         yield _batch(out)
                         out = []
@@ -162,7 +168,7 @@ def pack_shingles(rows: DataFrame, ranges: int, params: JaccardParams) -> DataFr
 
 
 def shared_shingles(packed: DataFrame, ranges: int) -> DataFrame:
-    """PACKED rows back to the slices: only shared shingles, as uint64 tokens, with class counts in common_n.
+    """PACKED rows back to the slices: only shared shingles, with class counts in common_n.
 
     Rows with `common` give the counts of the slice's common shingles; the slice has their listing.
     """
@@ -171,10 +177,9 @@ def shared_shingles(packed: DataFrame, ranges: int) -> DataFrame:
         rows = group.to_pylist()
         if rows[0]["part"] >= ranges:
             return group.select(_NAMES)
-        part = U64(rows[0]["part"]) << U64(48)
         cls = [np.frombuffer(r["cls"], np.int64) for r in rows]
-        counts = [np.frombuffer(r["counts"], np.int32) for r in rows]
-        tokens = [_unpack48(r["tokens"]) for r in rows]
+        counts = [np.frombuffer(r["counts"], np.uint16) for r in rows]
+        tokens = [_unpack(r["tokens"]) for r in rows]
         common = [np.frombuffer(r["common"], np.uint64) for r in rows]
         t = np.concatenate(tokens)
         owner = np.repeat(np.concatenate(cls), np.concatenate(counts))
@@ -190,7 +195,7 @@ def shared_shingles(packed: DataFrame, ranges: int) -> DataFrame:
         distinct = np.concatenate((np.ones(min(1, len(g)), bool), (g[1:] != g[:-1]) | (o[1:] != o[:-1])))
         number += np.bincount(g[distinct], minlength=len(number))
         extra = np.concatenate([np.zeros(0, np.uint64), *common]) & LOW
-        extra_n = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["common_n"], np.int64) for r in rows)])
+        extra_n = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["common_n"], np.int32) for r in rows)])
         unique = ts[begin]
         if len(extra):
             keys, inverse = np.unique(extra, return_inverse=True)
@@ -206,16 +211,14 @@ def shared_shingles(packed: DataFrame, ranges: int) -> DataFrame:
         back[order] = number[group_no]
         out, lo = [], 0
         for r, c, n, x in zip(rows, cls, counts, common, strict=True):
-            own = back[lo : lo + int(n.sum())]
-            tt = t[lo : lo + int(n.sum())]
-            lo += int(n.sum())
+            hi = lo + int(n.sum(dtype=np.int64))
+            own, tt, lo = back[lo:hi], t[lo:hi], hi
             shared = own >= 2
-            kept = np.add.reduceat(np.append(shared, 0).astype(np.int64), np.concatenate(([0], np.cumsum(n)[:-1])))[: len(n)] if len(n) else np.zeros(0, int)
-            full = np.uint64(part) | tt[shared]
-            common_n = total[np.searchsorted(keys, x & LOW)] if len(x) else ()
+            kept = np.add.reduceat(np.append(shared, 0).astype(np.int64), np.concatenate(([0], np.cumsum(n, dtype=np.int64)[:-1])))[: len(n)] if len(n) else np.zeros(0, int)
+            common_n = total[np.searchsorted(keys, x & LOW)] if len(x) else np.zeros(0, np.int64)
             has = kept > 0
-            row = _row(r["part"], r["slice"], c[has], np.frombuffer(r["size"], np.int32)[has], kept[has], full.tobytes(), x, common_n)
-            row[7] = own[shared].tobytes() + row[7]  # counts of the tokens, then of the common ones
+            # Counts of the tokens, then of the common ones.
+            row = _row(r["part"], r["slice"], c[has], (), kept[has], _pack(tt[shared]), x, np.concatenate((own[shared], common_n)))
             if shared.any() or len(x):
                 out.append(row)
         return pa.Table.from_batches([_batch(out)])
@@ -230,30 +233,30 @@ def kept_classes(shared: DataFrame, ranges: int, params: JaccardParams) -> DataF
     """KEPT rows of the classes that share enough of their set; one per class and slice."""
 
     def apply(group: pa.Table) -> pa.Table:
-        cls, size, token, number, commons = [], [], [], [], []
-        known: dict[int, int] = {}
+        cls, token, number, listings = [], [], [], []
+        known: dict[int, tuple[int, int]] = {}
         for r in group.to_pylist():
-            c, n = np.frombuffer(r["cls"], np.int64), np.frombuffer(r["counts"], np.int32)
+            c, n = np.frombuffer(r["cls"], np.int64), np.frombuffer(r["counts"], np.uint16)
             if r["part"] >= ranges:
-                commons.append((c, np.frombuffer(r["size"], np.int32), n, np.frombuffer(r["tokens"], np.uint64)))
+                listings.append((c, np.frombuffer(r["size"], np.int32), n, np.frombuffer(r["tokens"], np.uint64)))
                 continue
-            t, df = np.frombuffer(r["tokens"], np.uint64), np.frombuffer(r["common_n"], np.int64)
+            t, df = _unpack(r["tokens"]), np.frombuffer(r["common_n"], np.int32)
             cls.append(np.repeat(c, n))
-            size.append(np.repeat(np.frombuffer(r["size"], np.int32), n))
-            token.append(t)
+            token.append((U64(r["part"]) << U64(8 * BYTES)) | t)
             number.append(df[: len(t)])
-            known.update(zip(np.frombuffer(r["common"], np.uint64).tolist(), zip([r["part"]] * (len(df) - len(t)), df[len(t) :].tolist()), strict=True))
-        if commons:
-            keys = np.array(sorted(known), dtype=np.uint64)
-            part = np.array([known[k][0] for k in keys.tolist()], dtype=np.uint64)
-            df = np.array([known[k][1] for k in keys.tolist()], dtype=np.int64)
-            for c, s, n, t in commons:
-                at = np.searchsorted(keys, t)
-                cls.append(np.repeat(c, n))
-                size.append(np.repeat(s, n))
-                token.append((part[at] << U64(48)) | (t & LOW))
-                number.append(df[at])
-        c, s, t, df = (np.concatenate([np.zeros(0, k), *x]) for x, k in ((cls, np.int64), (size, np.int32), (token, np.uint64), (number, np.int64)))
+            known.update((k, (r["part"], d)) for k, d in zip(np.frombuffer(r["common"], np.uint64).tolist(), df[len(t) :].tolist(), strict=True))
+        keys = np.array(sorted(known), dtype=np.uint64)
+        part = np.array([known[k][0] for k in keys.tolist()], dtype=np.uint64)
+        df_of = np.array([known[k][1] for k in keys.tolist()], dtype=np.int64)
+        for c, _, n, t in listings:
+            at = np.searchsorted(keys, t)
+            cls.append(np.repeat(c, n))
+            token.append((part[at] << U64(8 * BYTES)) | (t & LOW) if len(t) else t)
+            number.append(df_of[at] if len(t) else np.zeros(0, np.int64))
+        all_cls, all_size = (np.concatenate([np.zeros(0, np.int64), *x]) for x in ([x[0] for x in listings], [x[1] for x in listings]))
+        sorted_cls = np.argsort(all_cls, kind="stable")
+        c, t, df = (np.concatenate([np.zeros(0, k), *x]) for x, k in ((cls, np.int64), (token, np.uint64), (number, np.int64)))
+        s = all_size[sorted_cls][np.searchsorted(all_cls[sorted_cls], c)] if len(c) else np.zeros(0, np.int64)
         order = np.argsort(c, kind="stable")
         c, s, t, df = c[order], s[order], t[order], df[order]
         begin = np.flatnonzero(np.concatenate((np.ones(min(1, len(c)), bool), c[1:] != c[:-1])))
