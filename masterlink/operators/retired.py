@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from masterlink.functions import text as T
+from masterlink.plans.durable import durable
 
 
 def equal_key(rows: DataFrame, key: Column) -> DataFrame:
@@ -70,15 +71,20 @@ def ngram_match(names: DataFrame, share: float = 0.5) -> DataFrame:
 
     By the prefix principle a pair shares one of each set's rarest trigrams, so only those make candidates.
     """
-    grams = names.select("first_id", "country_code", trigrams(F.array_join("tokens", " ")).alias("grams")).filter(F.size("grams") > 0)
+    grams = durable(names.select("first_id", "country_code", trigrams(F.array_join("tokens", " ")).alias("grams")).filter(F.size("grams") > 0))
     counts = grams.select("country_code", F.explode("grams").alias("g")).groupBy("country_code", "g").agg(F.count("*").alias("n"))
     listed = grams.select("first_id", "country_code", F.explode("grams").alias("g")).join(counts, ["country_code", "g"])
-    ordered = listed.groupBy("first_id", "country_code").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "g"))), lambda x: x["g"]).alias("grams"))
+    ordered = durable(listed.groupBy("first_id", "country_code").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "g"))), lambda x: x["g"]).alias("grams")))
     prefix = F.slice("grams", 1, (F.size("grams") - F.ceil(F.size("grams") * share) + 1).cast("int"))
-    index = ordered.select("first_id", "country_code", F.explode(prefix).alias("g"), "grams")
-    a, b = index.select(F.col("first_id").alias("probe_id"), "country_code", "g", F.col("grams").alias("x")), index.select(F.col("first_id").alias("master_id"), "country_code", "g", F.col("grams").alias("y"))
-    pairs = a.join(b, ["country_code", "g"]).filter("master_id < probe_id").withColumn("overlap", F.round(T.token_overlap(F.col("x"), F.col("y")), 6))
-    return pairs.filter(F.col("overlap") >= share).select("probe_id", "master_id", "overlap").distinct()
+    index = ordered.select("first_id", "country_code", F.explode(prefix).alias("g"), F.size("grams").alias("n"))
+    a, b = index.select(F.col("first_id").alias("probe_id"), "country_code", "g", F.col("n").alias("m")), index.withColumnRenamed("first_id", "master_id")
+    # Sizes that rule the similarity out never meet; a pair that meets under several trigrams is compared once.
+    fits = (F.col("master_id") < F.col("probe_id")) & (F.col("m") >= share * F.col("n")) & (F.col("n") >= share * F.col("m"))
+    pairs = a.join(b, ["country_code", "g"]).filter(fits).select("probe_id", "master_id").distinct()
+    sets = lambda who, c: ordered.select(F.col("first_id").alias(who), F.col("grams").alias(c))
+    scored = pairs.join(sets("probe_id", "x"), "probe_id").join(sets("master_id", "y"), "master_id").withColumn("common", F.size(F.array_intersect("x", "y")))
+    scored = scored.withColumn("overlap", F.round(F.col("common") / (F.size("x") + F.size("y") - F.col("common")), 6))
+    return scored.filter(F.col("overlap") >= share).select("probe_id", "master_id", "overlap")
 
 
 def suffix_fuzzy(names: DataFrame) -> DataFrame:
