@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented Latin letters and their base letters; Arabic letters and their normal forms.
+# Accented Latin letters and their base letters; Arabic letters and their normal forms; invisible characters;
+# labels and care-of phrases that the cleaner removes; what it keeps; markers that stand for no name.
 ACCENTED = "áàâäãåāăąéèêëēęěíìîïīıóòôöõőøúùûüūůűýÿñńňçćčşśšžźżğďťřł"
 PLAIN = "aaaaaaaaaeeeeeeeiiiiiiooooooouuuuuuuyynnncccssszzzgdtrl"
 ARABIC = "أإآىة"
