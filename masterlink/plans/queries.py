@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masterlink.config import AS_WRITTEN, INTENDED, Profile, QaSettings
+from masterlink.config import AS_WRITTEN, INTENDED, Profile
 from masterlink.functions import text as T
 from masterlink.operators import analyse as A
 from masterlink.operators import dedup, probes, qa, resolve, retired
@@ -592,6 +592,3 @@ def events_windows(spark, sf_dir):
 
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     return windowed_counts(events, "ts", "1 hour", "60 seconds", "event_type").withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm"))
-
-
-SETTINGS = QaSettings()
