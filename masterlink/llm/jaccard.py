@@ -51,7 +51,7 @@ class JaccardParams:
     slice_bytes: int = 8 << 20
     common: int = 32
     #: Min-hash keys by which alike classes are grouped, and rows of a run or tile before it is split.
-    keys: int = 3
+    keys: int = 2
     run_rows: int = 2000
 
 
