@@ -17,6 +17,7 @@ replaced).
 
 from __future__ import annotations
 
+import json
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -118,7 +119,7 @@ def filter_urls(pages: DataFrame, rules: list[UrlRule], url_col: str = "url", ke
     counts: dict[str, int] = {}
     if literals:
         key = F.concat(url_host(F.col(url_col)), url_path(F.col(url_col)))
-        wanted = F.array_intersect(F.regexp_extract_all(key, F.lit("[0-9A-Za-z]+"), 0), F.array(*map(F.lit, literals)))
+        wanted = F.array_intersect(F.regexp_extract_all(key, F.lit("[0-9A-Za-z]+"), 0), F.from_json(F.lit(json.dumps(literals)), "array<string>"))
         tokens = pages.select(F.explode(wanted).alias("token"))
         counts = {r["token"]: r["n"] for r in tokens.groupBy("token").agg(F.count("*").alias("n")).collect()}
     shared = pages.sparkSession.sparkContext.broadcast((rules, counts))
