@@ -47,6 +47,8 @@ class NeighbourParams:
     #: Dimensions of a column block and strictness of the test: the larger, the fewer wrongly abandoned.
     block: int = 16
     strictness: float = 2.1
+    #: Share of candidates left from which on they go on one by one instead of as a matrix.
+    sparse: float = 0.2
     seed: int = 5
 
 
@@ -99,8 +101,8 @@ def firsts(group: np.ndarray, k: int) -> np.ndarray:
 def scan_tile(queries: np.ndarray, query_ids: np.ndarray, probes: list[np.ndarray], vectors: np.ndarray, ids: np.ndarray, own: np.ndarray, lists: Lists) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k best (query number, vector number, score) of each query among the vectors of the lists that it probes.
 
-    List after list, all its queries at once: the first column block gives a matrix of partial distances, the later ones
-    go on with the pairs that the test has left. A query's limit is its k-th best over the lists so far.
+    List after list, all its queries at once: column blocks add to a matrix of partial distances, in which the test
+    abandons pairs; once few are left, these go on alone. A query's limit is its k-th best over the lists so far.
     """
     p, k = lists.params, lists.params.k
     x, qs = lists.lifted(vectors), lists.lifted(queries, query=True)
@@ -129,17 +131,23 @@ def scan_tile(queries: np.ndarray, query_ids: np.ndarray, probes: list[np.ndarra
                 limit = np.minimum(limit, np.partition(near, k - 1, axis=1)[:, k - 1] * (1 + 1e-9) + 1e-9)
             i = j = far = None
             for block in blocks:
-                if far is None:
+                last = block.stop == d
+                room = limit if last else limit * (block.stop / d) * (1 + p.strictness / np.sqrt(block.stop)) ** 2
+                if i is None:
                     c, part = x[members, block], qs[asking, block]
-                    far = (c * c).sum(1) - 2 * part @ c.T + (part * part).sum(1)[:, None]
-                    far[ids[members] == query_ids[asking][:, None]] = np.nan
-                    room = limit * (block.stop / d) * (1 + p.strictness / np.sqrt(block.stop)) ** 2 if block.stop < d else limit
-                    i, j = np.nonzero(far <= room[:, None])
+                    step = (c * c).sum(1) - 2 * part @ c.T + (part * part).sum(1)[:, None]
+                    if far is None:
+                        step[ids[members] == query_ids[asking][:, None]] = np.nan
+                    far = step if far is None else far + step
+                    alive = far <= room[:, None]
+                    if not last and alive.mean() > p.sparse:
+                        far[~alive] = np.nan  # below no limit
+                        continue
+                    i, j = np.nonzero(alive)
                     far = far[i, j]
                 else:
                     far = far + ((x[members[j], block] - qs[asking[i], block]) ** 2).sum(1)
-                    room = limit[i] * (block.stop / d) * (1 + p.strictness / np.sqrt(block.stop)) ** 2 if block.stop < d else limit[i]
-                    keep = far <= room
+                    keep = far <= room[i]
                     i, j, far = i[keep], j[keep], far[keep]
             i, j = asking[i], members[j]
             score = (vectors[j] * queries[i]).sum(1)
