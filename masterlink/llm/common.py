@@ -27,7 +27,7 @@ _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 #: For comparisons that ignore punctuation: all ASCII bytes but letters and digits part words.
 NOT_ALNUM = np.ones(256, dtype=bool)
 NOT_ALNUM[128:] = NOT_ALNUM[48:58] = NOT_ALNUM[65:91] = NOT_ALNUM[97:123] = False
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _pow: np.ndarray | None = None
 _ipow: np.ndarray | None = None
 
@@ -56,7 +56,7 @@ def hash_fraction(col: Column, seed: int) -> Column:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _pow, _ipow
     if _pow is None or len(_pow) < n:
-        size = max(n, 2 * SLICE_BYTES)
+        size = max(n, SLICE_BYTES + (SLICE_BYTES >> 2))
         both = []
         for base in (_BASE, _INV):
             x = np.full(size, base, dtype=np.uint64)
