@@ -117,8 +117,7 @@ def light_clean(spark, sf_dir):
 
 @query
 def light_clean_documents(spark, sf_dir):
-    first = F.get(F.split("text", "\n"), F.lit(0))
-    return documents(spark, sf_dir).select("doc_id", T.light_clean(first, unicode=False).alias("cleaned"))
+    return documents(spark, sf_dir).select("doc_id", T.light_clean(F.col("text"), unicode=False).alias("cleaned"))
 
 
 @query
