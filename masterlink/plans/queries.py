@@ -557,8 +557,7 @@ def array_set_ops(spark, sf_dir):
 def unicode_norm(spark, sf_dir):
     from masterlink.functions.unicode import nfkc_casefold, segment, unicode_norm
 
-    line = F.get(F.split("text", "\n"), F.lit(0))
-    return documents(spark, sf_dir).select("doc_id", nfkc_casefold(line).alias("folded"), unicode_norm(line).alias("normal"), F.size(segment(line)).alias("words"))
+    return documents(spark, sf_dir).select("doc_id", nfkc_casefold("text").alias("folded"), unicode_norm("text").alias("normal"), F.size(segment("text")).alias("words"))
 
 
 @query

@@ -38,3 +38,11 @@ def test_light_clean_documents_against_brute_force(spark):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").filter(F.col("text").isNotNull()).collect()}
     found = {r["doc_id"]: r["cleaned"] for r in QUERIES["light_clean_documents"](spark, sf).collect()}
     assert {k: found[k] for k in texts} == {k: cleaned(t) for k, t in texts.items()}
+
+
+def test_unicode_norm_reads_all_lines(spark, tmp_path):
+    texts = ["Ａcme ﬁrm\nStraße É\n東京 x", "one", "\n\nafter blank", "", None]
+    found = {r["doc_id"]: (r["folded"], r["normal"], r["words"]) for r in QUERIES["unicode_norm"](spark, written(spark, tmp_path, texts)).collect()}
+    assert found[0] == ("acme firm\nstrasse é\n東京 x", "acme firm straße e 東京 x", 7)
+    assert found[2] == ("\n\nafter blank", "after blank", 2)
+    assert found[3] == ("", "", 0)
