@@ -1,7 +1,7 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-First, one pass over the corpus counts in how many documents each n-gram of the test items occurs. Of every `window`
-consecutive n-grams of an item, the rarest becomes a seed, so any copied run of window + n - 1 words holds a seed however
+First, one pass over the corpus counts in how many documents each n-gram of the test items occurs. All that occur are
+seeds, common ones too: an edit may leave a copy no other n-gram, so each copied run of n words holds a seed however
 common the item is in the corpus. A second pass finds seeds in each document; around the hits, the document's words are
 aligned with the item's words by Smith-Waterman. An item counts as leaked into a document if the best local alignment
 reaches `threshold` of the score of a whole verbatim copy. Case and punctuation don't count.
@@ -30,8 +30,6 @@ from masterlink.llm.common import NOT_ALNUM, Words, buffer_of, grams, slices, sm
 @dataclass(frozen=True)
 class LeakParams:
     n: int = 3
-    #: Of so many consecutive n-grams one is a seed; of items with fewer than 16, each is.
-    window: int = 2
     threshold: float = 0.5
     match: float = 2.0
     mismatch: float = -1.0
@@ -59,12 +57,7 @@ class Benchmark:
         """The sorted seed hashes and for each its (item, position) pairs, given each n-gram's document count."""
         places: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for item, g in enumerate(self.grams_of):
-            if not len(g):
-                continue
-            count = counts[np.searchsorted(self.grams, g)]
-            size = min(self.params.window, max(1, len(g) // 8))
-            chosen = {min(range(k, k + size), key=lambda p: (count[p], p)) for k in range(len(g) - size + 1)}
-            for p in sorted(chosen):
+            for p in np.flatnonzero(counts[np.searchsorted(self.grams, g)] > 0).tolist():
                 places[int(g[p])].append((item, p))
         keys = sorted(places)
         return np.array(keys, dtype=np.uint64), [places[k] for k in keys]

@@ -292,3 +292,32 @@ def test_leaks_edge_cases(spark):
     assert flagged.count() == df.count() and flagged.columns.count("leaks") == 1
     assert decontaminate.find_leaks(df.limit(0), items).count() == 0
     assert decontaminate.find_leaks(df, items.limit(0)).count() == 0
+
+
+def test_heavily_edited_copies_are_found(spark):
+    """Copies with a quarter to a third of the words replaced, all at once or at random, against all pairs."""
+    rng = random.Random(11)
+    items = [(n, [f"i{n}x{k}" for k in range(n)]) for n in (18, 24, 40, 59)]
+    rows = []
+    for n, item in items:
+        for s in range(4):
+            rows.append([f"e{len(rows)}" if k % 4 == s else w for k, w in enumerate(item)])
+        for _ in range(60):
+            share = rng.choice([0.25, 0.3, 0.35])
+            rows.append([f"r{len(rows)}x{k}" if rng.random() < share else w for k, w in enumerate(item)])
+    texts = [["before"] * 5 + r + ["after"] * 5 for r in rows]
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id bigint, text string")
+    found = decontaminate.find_leaks(docs, spark.createDataFrame([(n, " ".join(x)) for n, x in items], "item_id bigint, text string")).collect()
+    want = {(d, n): s for d, t in enumerate(texts) for n, x in items if (s := naive_alignment(x, t)) >= 0.5}
+    assert len(want) > 100 and {(r["doc_id"], r["item_id"]): r["leak_score"] for r in found} == pytest.approx(want)
+
+
+def test_copies_whose_one_whole_run_is_common_are_found(spark):
+    """The only three words that an edit leaves in a row are the commonest of the item, beside rarer ones that others hold."""
+    item = [f"w{k}" for k in range(24)]
+    edited = [f"x{k}" if k % 4 == 3 else w for k, w in enumerate(item)]
+    others = [item[k : k + 3] for k in range(22)] + [item[k : k + 3] for k in range(0, 22, 4) for _ in range(9)]
+    texts = [edited, *others]
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id bigint, text string")
+    found = decontaminate.find_leaks(docs, spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")).collect()
+    assert [(r["doc_id"], r["leak_score"]) for r in found] == [(0, pytest.approx(naive_alignment(item, edited)))]
