@@ -102,6 +102,34 @@ def test_html_edge_cases(spark):
     assert joined.count() == 6
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    """Copies keep heading and paragraphs: where most pages of a host are copies, and where only they have the structure."""
+    copy = "<body><article><h1>Copied title</h1><p>First copied text</p><table><tr><td>Copied cell</td></tr></table></article></body>"
+    plain = "<body><div><h1>Plain title</h1><p>Plain copied text</p></div></body>"
+    other = lambda k: f"<body><article><h1>Title {k}</h1><p>Text {k}</p></article><div>All rights of this site</div></body>"
+    pages = {
+        "few": [copy] * 40 + [other(k) for k in range(4)],
+        "many": [copy] * 80 + [other(k) for k in range(12)],
+        "rare": [copy] * 9 + [other(k) for k in range(60)],
+        "bare": [plain] * 50 + [f"<body><div><h1>Title {k}</h1><p>Text {k}</p></div><p>All rights of this site</p></body>" for k in range(20)],
+    }
+    rows = [(host, source) for host, sources in pages.items() for source in sources]
+    random.Random(3).shuffle(rows)
+    df = spark.createDataFrame([(k, f"http://{h}.com/{k}", s) for k, (h, s) in enumerate(rows)], "page_id bigint, url string, html string").repartition(7)
+    for params in (html.HtmlParams(), html.HtmlParams(broadcast_bytes=-1)):
+        got = Counter((r["url"].split("/")[2], r["main_text"]) for r in html.extract_main_text(df, params).collect())
+        assert [got[f"{h}.com", "Copied title\n\nFirst copied text\n\nCopied cell"] for h in ("few", "many", "rare")] == [40, 80, 9]
+        assert got["bare.com", "Plain title\n\nPlain copied text"] == 50
+        assert all(got["bare.com", f"Title {k}\n\nText {k}"] == 1 for k in range(20))  # what all others share is template
+
+
+def test_wrappers_count_distinct_pages(spark):
+    sources = [f"<p>same</p><p>text {k % 5}</p>" for k in range(200)]
+    df = spark.createDataFrame([(f"http://a.com/{k}", s) for k, s in enumerate(sources)], "url string, html string").repartition(6)
+    row = html.infer_wrappers(df).head()
+    assert row["pages"] == 5 and [max(x[html.FREQUENT].values()) for x in html.slots(html.load(row["wrapper"]))] == [5]
+
+
 # Chat
 
 
