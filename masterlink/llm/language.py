@@ -9,8 +9,8 @@ Calibration: on rows of the sample kept out of training, a temperature is fitted
 whose calibrated probability falls below a low quantile seen on right predictions there (at most `max_threshold`) are
 rejected, as are texts without a letter.
 
-Edge cases: null or empty texts, and texts without a letter, get `und`, score 0 and rejected = true; repeated rows each
-get their own result; an empty table gives an empty result; without any training row every text is `und`; columns other
+Edge cases: null or empty texts, and texts without a letter, get `und`, score 0 and rejected = true; null keys and very
+long texts are read like others; ties go to the first language; repeated rows each get their own result; an empty table gives an empty result; without any training row every text is `und`; columns other
 than the key and the text are ignored.
 """
 
@@ -32,21 +32,27 @@ WORD = re.compile(r"[^\W\d_]+")
 UND = "und"
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; signs such as a superscript two or a half are none, though words may hold them."""
+    return any(any(map(str.isalpha, m[0])) for m in WORD.finditer(text))
+
+
 @dataclass(frozen=True)
 class LanguageParams:
-    #: Bound of the training sample, per language; longer texts are used whole.
+    #: Bound of the training sample, per language; its texts are used whole.
     rows_per_language: int = 800
     buckets: int = 1 << 15
     dim: int = 16
-    epochs: int = 4
+    epochs: int = 2
     rate: float = 0.5
     #: Share of the sample that is kept for calibration.
     calibration: float = 0.25
     #: Share of right calibration texts that may be rejected at most.
     reject_quantile: float = 0.0005
     max_threshold: float = 0.5
-    #: Words of the training texts per SGD step.
+    #: Words of the longest runs that training texts are cut into, and runs of a step of gradient descent.
     words_per_step: int = 60
+    runs_per_step: int = 4
     seed: int = 7
     cached_words: int = 200_000
 
@@ -102,30 +108,31 @@ class LanguageModel:
             ids, first = subwords(words, p.buckets)
             # Runs of several lengths, short ones too: the model must also read short texts.
             at, k, y = 0, 0, self.langs.index(label)
-            while at < len(words) and k < 12:
+            while at < len(words):
                 to = min(len(words), at + (p.words_per_step, 4, 15)[k % 3])
                 steps.append((ids[first[at] : first[to]], y))
                 at, k = to, k + 1
         counts = np.bincount([y for _, y in steps], minlength=len(self.langs))
-        weight = len(steps) / np.maximum(counts, 1) / len(self.langs)
+        weight = np.minimum(len(steps) / np.maximum(counts, 1) / len(self.langs), 3.0)
         total, done = p.epochs * len(steps), 0
         for _ in range(p.epochs):
-            for s in rng.permutation(len(steps)):
-                ids, y = steps[s]
+            order = rng.permutation(len(steps))
+            for a in range(0, len(steps), p.runs_per_step):
+                runs = [steps[s] for s in order[a : a + p.runs_per_step]]
+                ids, y = np.concatenate([r[0] for r in runs]), np.array([r[1] for r in runs])
+                n = np.array([len(r[0]) for r in runs])
                 rate = p.rate * (1 - done / total)
-                done += 1
-                mean = self.emb[ids].mean(0)
-                z = mean @ self.out + self.bias
-                q = np.exp(z - z.max())
-                q /= q.sum()
-                q[y] -= 1
-                q *= min(weight[y], 3.0)
-                back = self.out @ q
-                self.out -= rate * np.outer(mean, q)
-                self.bias -= 0.1 * rate * q
-                np.subtract.at(self.emb, ids, rate * back / len(ids))
+                done += len(runs)
+                mean = np.add.reduceat(self.emb[ids], np.cumsum(n) - n, axis=0) / n[:, None]
+                q = np.exp(log_softmax(mean @ self.out + self.bias))
+                q[np.arange(len(y)), y] -= 1
+                q *= weight[y][:, None]
+                back = q @ self.out.T / n[:, None]
+                self.out -= rate * (mean.T @ q)
+                self.bias -= 0.1 * rate * q.sum(0)
+                np.subtract.at(self.emb, ids, rate * np.repeat(back, n, axis=0))
         self._table = None
-        kept = [i for i in np.flatnonzero(cut) if WORD.search(texts[i])]
+        kept = [i for i in np.flatnonzero(cut) if has_letter(texts[i])]
         held_labels = np.array([self.langs.index(labels[i]) for i in kept])
         if len(kept) >= 20:
             z = self.logits([WORD.findall(texts[i].lower()) for i in kept])
@@ -171,7 +178,7 @@ class LanguageModel:
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         """Language, calibrated probability, rejected."""
         out: list[tuple[str, float, bool]] = [(UND, 0.0, True)] * len(texts)
-        readable = [i for i, t in enumerate(texts) if t and self.langs and WORD.search(t)]
+        readable = [i for i, t in enumerate(texts) if t and self.langs and has_letter(t)]
         while readable:
             part, size = [], 0
             while readable and size < 4_000_000 and len(part) < 1000:
