@@ -4,12 +4,14 @@ First, one pass over the corpus counts in how many documents each n-gram of the
 seeds, common ones too: an edit may leave a copy no other n-gram, so each copied run of n words holds a seed however
 common the item is in the corpus. A second pass finds seeds in each document; around the hits, the document's words are
 aligned with the item's words by Smith-Waterman. An item counts as leaked into a document if the best local alignment
-reaches `threshold` of the score of a whole verbatim copy. Case and punctuation don't count.
+reaches `threshold` of the score of a whole verbatim copy. Case and punctuation don't count. An item with fewer than n words
+is one seed as a whole, so it is found where all its words stand side by side.
 
 Each document is handled where it is read: texts are never shuffled, and no common n-gram or passage gathers rows.
 The test items' n-grams are sent to all executors in blocks of bounded size; a larger benchmark takes more blocks.
 
-Edge cases: null or empty texts and items match nothing; items with fewer than n words are not looked for; repeated
+Edge cases: null or empty texts and items match nothing; null keys of documents or items are reported as they are; very long
+texts are read whole, one slice at a time; of alignments with equal scores, the first in the text is reported; repeated
 documents or items (rows) are each reported; empty tables give an empty result; other columns are ignored.
 """
 
@@ -49,7 +51,9 @@ class Benchmark:
         for i, j in slices(offsets):
             w = Words(data, offsets, i, j, NOT_ALNUM)
             self.words += [w.hash[w.first[d] : w.first[d + 1]] for d in range(j - i)]
-        grams_of = [grams(w, params.n) for w in self.words]
+        #: Lengths of seeds: an item with fewer than n words is one seed, all of it.
+        self.lengths = sorted({min(params.n, len(w)) for w in self.words if len(w)})
+        grams_of = [grams(w, max(1, min(params.n, len(w)))) for w in self.words]
         self.grams = np.unique(np.concatenate([np.zeros(0, np.uint64), *grams_of]))
         self.grams_of = grams_of
 
@@ -76,6 +80,14 @@ def find_in(sorted_keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np
     return at[same], key[same]
 
 
+def hits_of(sorted_keys: np.ndarray, words: Words, lengths: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each length of seeds, the words where a seed among the keys begins within a document, and which key it is."""
+    for n in lengths:
+        at, key = find_in(sorted_keys, grams(words.hash, n))
+        inside = words.doc[at] == words.doc[at + n - 1]
+        yield at[inside], key[inside]
+
+
 def smith_waterman(item: np.ndarray, text: np.ndarray, params: LeakParams) -> tuple[float, int]:
     """The best local score and the text position where it ends, one row per item word, whole rows at a time."""
     ramp = np.arange(1, len(text) + 1) * -params.gap
@@ -140,7 +152,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, params: LeakParams = LeakParam
 
 
 def _flag_block(rows: DataFrame, texts: DataFrame, bench: Benchmark) -> DataFrame:
-    spark, params, keys = rows.sparkSession, bench.params, bench.grams
+    spark, params, keys, lengths = rows.sparkSession, bench.params, bench.grams, bench.lengths
     shared_keys = spark.sparkContext.broadcast(keys)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,11 +161,9 @@ def _flag_block(rows: DataFrame, texts: DataFrame, bench: Benchmark) -> DataFram
             data, offsets = buffer_of(string_array(b.column(0)))
             for i, j in slices(offsets):
                 w = Words(data, offsets, i, j, NOT_ALNUM)
-                g = grams(w.hash, params.n)
-                at, key = find_in(keys, g)
-                inside = w.doc[at] == w.doc[at + params.n - 1]
-                pairs = np.unique(w.doc[at[inside]] * len(keys) + key[inside])
-                total = (0 if total is None else total) + np.bincount(pairs % max(1, len(keys)), minlength=len(keys))
+                for at, key in hits_of(keys, w, lengths):
+                    pairs = np.unique(w.doc[at] * len(keys) + key)
+                    total = (0 if total is None else total) + np.bincount(pairs % max(1, len(keys)), minlength=len(keys))
         if total is not None and (some := np.flatnonzero(total)).size:
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["key", "n"])
 
@@ -170,13 +180,12 @@ def _flag_block(rows: DataFrame, texts: DataFrame, bench: Benchmark) -> DataFram
             data, offsets = buffer_of(string_array(b.column(b.num_columns - 2)))
             for i, j in slices(offsets):
                 w = Words(data, offsets, i, j, NOT_ALNUM)
-                at, key = find_in(seeds, grams(w.hash, params.n))
-                inside = w.doc[at] == w.doc[at + params.n - 1]
                 hits: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-                for p, k in zip(at[inside].tolist(), key[inside].tolist(), strict=True):
-                    d = int(w.doc[p])
-                    for item, place in places[k]:
-                        hits[d, item].append((p - int(w.first[d]), place))
+                for at, key in hits_of(seeds, w, lengths):
+                    for p, k in zip(at.tolist(), key.tolist(), strict=True):
+                        d = int(w.doc[p])
+                        for item, place in places[k]:
+                            hits[d, item].append((p - int(w.first[d]), place))
                 for (d, item), near in sorted(hits.items()):
                     best = align(w.hash[w.first[d] : w.first[d + 1]], near, words[item], params)
                     if best:
