@@ -36,18 +36,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(df: DataFrame, limit: int = 8 << 20) -> DataFrame:
-    """The DataFrame, after lowering the session's limit on the bytes of an Arrow batch to that of these operators.
+def small_batches(df: DataFrame, limit: int = 8 << 20, rows: int = 128) -> DataFrame:
+    """The DataFrame, after lowering the session's limits on batches of rows to those of operators over long texts.
 
-    Long texts would otherwise fill batches of 64 MB, several times over in the JVM and in Python.
+    Long texts would otherwise fill Arrow batches of 64 MB, several times over in the JVM and in Python, and column vectors
+    of 4,096 texts, which the JVM's heap holds as single objects of many MB and grows for.
     """
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
     conf = df.sparkSession.conf
-    if not (now := conf.get(key)).rstrip("b").isdigit() or int(now.rstrip("b")) > limit:
-        conf.set(key, str(limit))
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", limit), ("spark.sql.parquet.columnarReaderBatchSize", rows)):
+        if not (now := conf.get(key)).rstrip("b").isdigit() or int(now.rstrip("b")) > most:
+            conf.set(key, str(most))
     return df
 
 
+def sized_side(df: DataFrame, rows: int) -> DataFrame:
+    """The DataFrame as a side of a join: broadcast if it has that many rows at most, else hashed in shuffled parts."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df.hint("shuffle_hash")
+
+
 def hash_fraction(col: Column, seed: int) -> Column:
     """A number from 0 to 1 fixed by the value and the seed; null counts as a value."""
     return (F.xxhash64(F.lit(seed), col).bitwiseAND(F.lit((1 << 53) - 1))) / F.lit(float(1 << 53))

@@ -5,11 +5,14 @@ A query derives the agreed columns from its operator's output; the parameters ar
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from masterlink.llm import chat, decontaminate, html, jaccard, language, mixing, neighbours, quality, secrets, urls
 from masterlink.llm.common import durable, table
+from masterlink.plans.durable import shared_folder
 
 
 def crc_mod(name: str, n: int) -> Column:
@@ -56,7 +59,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train_quality_model(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 3) != 1)
     scored = quality.score_quality(docs, model, keep=["doc_id"])
-    return scored.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +108,7 @@ def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ledger = durable(secrets.scan_blobs(docs, secrets.RULES))
+    ledger = secrets.scan_snapshot(docs, secrets.RULES, f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}")
     found = secrets.join_findings(docs, ledger, secrets.RULES)
     count = lambda kind: F.size(F.filter("findings", lambda s: s["kind"] == kind)).cast("long")
     base = F.filter("findings", lambda s: s["kind_no"] < len(secrets.BASE_RULES))
@@ -161,7 +164,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.train_language_model(docs, crc_mod("doc_id", 4) != 2)
     named = language.identify_language(docs, model, keep=["doc_id"])
-    return named.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), F.col("lang_rejected").alias("rejected"))
+    return named.select("doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), F.col("lang_rejected").alias("rejected"))
 
 
 QUERIES = {

@@ -1,25 +1,31 @@
 """Secret scans: an incremental ledger of blobs, with DataFrame functions only.
 
 Every version of a text is addressed by its content (SHA-256). The ledger holds, for each pair of a blob and a rule's
-version, the spans found, the empty list included. A scan takes the distinct blobs of the given versions, drops the pairs
-that the ledger has, runs the remaining rules on each remaining blob once and returns the new ledger rows. Findings are
-then joined back to all paths that carry the blob. A new rule, or a new version of one, scans only that rule.
+version, the spans found, the empty list included; as a table, it grows by one folder per scan.
+A scan compares the hashes of the given versions with the ledger, runs only the rules that a blob has not met, and returns
+the new ledger rows. Findings are then joined back to all paths and versions that carry the blob. A new rule, or a new
+version of one, scans only that rule.
 
 Spans are in code points, with the end excluded. A rule finds the leftmost non-overlapping matches of its pattern and
 drops those whose value is too short.
 
-Edge cases: a null text is the empty text, which has no secrets; repeated rows each get the findings; null keys stay; an
-empty table gives an empty result; other columns pass through (those named like the new ones are replaced). Copies of one
-text, however many, are grouped within each input partition before the shuffle, and the join back splits a skewed blob.
+Edge cases: a null text is the empty text, which has no secrets; repeated rows each get the findings; null keys stay; very
+long texts are scanned whole, one at a time; ties of spans are ordered by the rules' order; an empty table gives an empty
+result; other columns pass through (those named like the new ones are replaced). Copies of one text, however many, leave one
+row of spans per task before the shuffle, and the join back splits a skewed blob.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from masterlink.llm.common import durable, sized_side, small_batches
+
 
 @dataclass(frozen=True)
 class SecretRule:
@@ -49,6 +55,8 @@ MORE_RULES = [
 ]
 RULES = BASE_RULES + MORE_RULES
 SPANS = "array<struct<start:int,end:int>>"
+#: Rows (of 64 bytes and the rules' keys) up to which the list of blobs with unseen pairs is sent to all tasks.
+UNSEEN_ROWS = 100_000
 
 
 def blob_id(text: Column) -> Column:
@@ -75,20 +83,27 @@ def find_spans(text: Column, rule: SecretRule) -> Column:
 
 
 def scan_blobs(versions: DataFrame, rules: list[SecretRule], ledger: DataFrame | None = None, text_col: str = "text") -> DataFrame:
-    """New ledger rows (blob_id, rule, spans) for the unseen pairs of a blob of the versions and a rule's version."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    blobs = versions.select(blob_id(F.col(text_col)).alias("blob_id"), text.alias("text")).groupBy("blob_id").agg(F.first("text").alias("text"))
-    done = F.array().cast("array<string>")
-    if ledger is not None:
-        seen = ledger.groupBy("blob_id").agg(F.collect_set("rule").alias("seen"))
-        blobs = blobs.join(seen, "blob_id", "left").withColumn("seen", F.coalesce("seen", done))
-    else:
-        blobs = blobs.withColumn("seen", done)
+    """New ledger rows (blob_id, rule, spans) for the unseen pairs of a blob of the versions and a rule's version.
+
+    Texts are read where they lie: only hashes meet the ledger, and only hashes and spans are shuffled. The list of blobs
+    with unseen pairs goes to all tasks if its measured size allows; else it is joined with the texts by hash.
+    """
     keys = F.array(*(F.lit(r.key) for r in rules))
-    blobs = blobs.filter(F.size(F.array_except(keys, "seen")) > 0)
-    found = [F.when(~F.array_contains("seen", r.key), F.struct(F.lit(r.key).alias("rule"), find_spans(F.col("text"), r).alias("spans"))) for r in rules]
-    rows = blobs.select("blob_id", F.array(*found).alias("found"))
-    return rows.select("blob_id", F.inline(F.filter("found", lambda x: x.isNotNull())))
+    rows = small_batches(versions).select(blob_id(F.col(text_col)).alias("blob_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    if ledger is None:
+        rows = rows.withColumn("open", keys)
+    else:
+        seen = ledger.select("blob_id", "rule").groupBy("blob_id").agg(F.collect_set("rule").alias("seen"))
+        blobs = rows.select("blob_id").distinct().join(seen, "blob_id", "left")
+        blobs = durable(blobs.select("blob_id", F.array_except(keys, F.coalesce("seen", F.array().cast("array<string>"))).alias("open")).filter(F.size("open") > 0))
+        rows = rows.join(sized_side(blobs, UNSEEN_ROWS), "blob_id")
+    found = F.filter(F.array(*(F.when(F.array_contains("open", r.key), F.struct(F.lit(r.key).alias("rule"), find_spans(F.col("text"), r).alias("spans"))) for r in rules)), lambda x: x.isNotNull())
+    # One pass tells the texts that no rule matches, which are most.
+    clean = F.transform("open", lambda key: F.struct(key.alias("rule"), F.array().cast(SPANS).alias("spans")))
+    any_rule = "|".join(f"(?:{r.pattern})" for r in rules)
+    scanned = rows.select("blob_id", F.when(F.col("text").rlike(any_rule), found).otherwise(clean).alias("found"))
+    # Copies give equal spans; one row per blob and task goes on.
+    return scanned.groupBy("blob_id").agg(F.first("found").alias("found")).select("blob_id", F.inline("found"))
 
 
 def join_findings(versions: DataFrame, ledger: DataFrame, rules: list[SecretRule], text_col: str = "text") -> DataFrame:
@@ -103,9 +118,31 @@ def join_findings(versions: DataFrame, ledger: DataFrame, rules: list[SecretRule
     # A ledger may hold a pair twice after a retried append; the set keeps one of each.
     by_blob = hits.groupBy("blob_id").agg(F.array_sort(F.collect_set(entry)).alias("findings"))
     keep = [F.col(f"`{c}`") for c in versions.columns if c not in ("blob_id", "findings")]
-    paths = versions.select(*keep, blob_id(F.col(text_col)).alias("blob_id"))
+    paths = small_batches(versions).select(*keep, blob_id(F.col(text_col)).alias("blob_id"))
     none = F.array().cast("array<struct<start:int,kind_no:int,end:int,kind:string>>")
-    return paths.join(by_blob, "blob_id", "left").withColumn("findings", F.coalesce("findings", none))
+    # Hashed, not sorted: the versions may carry whole texts.
+    return paths.join(by_blob.hint("shuffle_hash"), "blob_id", "left").withColumn("findings", F.coalesce("findings", none))
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
+    """The ledger table (blob_id, rule, spans), or None before the first scan."""
+    try:
+        return spark.read.schema(f"blob_id string, rule string, spans {SPANS}").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def scan_snapshot(versions: DataFrame, rules: list[SecretRule], path: str, text_col: str = "text") -> DataFrame:
+    """Scans what the ledger table at the path has not seen of the versions, appends it, and gives the pairs scanned now.
+
+    Each scan is a folder of the table; a scan that broke off leaves none, and a pair that two scans hold counts once.
+    """
+    spark = versions.sparkSession
+    own = f"{path}/scan={uuid.uuid4().hex}"
+    scan_blobs(versions, rules, read_ledger(spark, path), text_col).write.parquet(own)
+    return spark.read.schema(f"blob_id string, rule string, spans {SPANS}").parquet(own)
 
 
 def spans_text(findings: Column) -> Column:

@@ -56,6 +56,27 @@ def test_language_cached_words_equal_plain_sums():
     assert np.allclose(model.logits([words])[0], want)
 
 
+def test_language_is_learned_from_whole_texts():
+    """Texts of 1,000 words of which the languages share the first 700; predictions read the last ones alone."""
+    rng = random.Random(5)
+    shared = [f"common{i}" for i in range(40)]
+    own = {"aa": [f"ost{i}wa" for i in range(40)], "bb": [f"kelu{i}ni" for i in range(40)]}
+    texts, labels = [], []
+    for k in range(120):
+        lang = ("aa", "bb")[k % 2]
+        texts.append(" ".join(rng.choices(shared, k=700) + rng.choices(own[lang], k=300)))
+        labels.append(lang)
+    model = language.LanguageModel(["aa", "bb"], language.LanguageParams(buckets=1 << 12)).fit(texts, labels)
+    ends = [" ".join(rng.choices(own[lang], k=12)) for lang in ("aa", "bb") * 20]
+    assert [x[0] for x in model.predict(ends)] == ["aa", "bb"] * 20
+    assert [x[0] for x in model.predict(texts)] == labels
+
+
+def test_signs_are_no_letters():
+    model = language.LanguageModel(["aa", "bb"], language.LanguageParams(buckets=64, dim=2))
+    assert [x[0] for x in model.predict(["² ½ ①", "_ 12 ³", "x²"])] == ["und", "und", "aa"]
+
+
 def test_language_edge_cases(spark):
     df = odd_docs(spark)
     params = language.LanguageParams(rows_per_language=50, epochs=1)
@@ -220,6 +241,26 @@ def test_ledger_scans_unseen_pairs_only(spark):
     assert {(r["doc_id"], len(r["findings"])) for r in found} == {(1, 1), (2, 0), (3, 1), (4, 0)} and len(found) == 5
 
 
+def test_ledger_table_lets_a_second_snapshot_scan_only_what_is_new(spark, tmp_path, monkeypatch):
+    """Two snapshots of versions under paths, in a table of pairs, with the unseen list sent to tasks and shuffled."""
+    kind = "path string, version int, text string"
+    one = spark.createDataFrame([(f"p{i % 20}", i // 20, f"token=value{i % 30}") for i in range(60)], kind)
+    two = one.unionByName(spark.createDataFrame([(f"p{i}", 9, f"token=value{i}") for i in range(25, 45)], kind))
+    newer = [secrets.SecretRule("hex", 2, r"[0-9a-f]{30,}"), *secrets.BASE_RULES]
+    for rows in (1000, 0):
+        monkeypatch.setattr(secrets, "UNSEEN_ROWS", rows)
+        path = str(tmp_path / f"ledger{rows}")
+        assert secrets.read_ledger(spark, path) is None
+        assert secrets.scan_snapshot(one, secrets.BASE_RULES, path).count() == 30 * 3
+        fresh = secrets.scan_snapshot(two, secrets.BASE_RULES, path)
+        texts = {hashlib.sha256(f"token=value{i}".encode()).hexdigest() for i in range(30, 45)}
+        assert {r["blob_id"] for r in fresh.collect()} == texts and fresh.count() == 15 * 3
+        assert secrets.scan_snapshot(two, secrets.BASE_RULES, path).count() == 0
+        assert {r["rule"] for r in secrets.scan_snapshot(two, newer, path).collect()} == {"hex@2"}
+        found = secrets.join_findings(two, secrets.read_ledger(spark, path), newer).collect()
+        assert len(found) == 80 and all(len(r["findings"]) == 1 and r["path"] and r["version"] is not None for r in found)
+
+
 def test_secrets_run_no_python_and_take_odd_rows(spark):
     df = odd_docs(spark)
     ledger = secrets.scan_blobs(df, secrets.RULES)
@@ -284,6 +325,21 @@ def test_hot_passage_is_found_everywhere_and_blocks_agree(spark):
     assert {(r["doc_id"], r["item_id"]) for r in blocks.collect()} == found
 
 
+def test_items_shorter_than_a_seed_are_found_whole(spark):
+    """Against a search for the items' words side by side; one word is an item too."""
+    items = [(1, "blue Moon"), (2, "zebra"), (3, "blue moon rises"), (4, "..."), (5, "blue moon")]
+    texts = ["once in a BLUE, moon", "moon blue", "blue\nmoon rises", "a zebra", "zebras", "blue", None, "x blue moon y blue moon zebra"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    norm = lambda t: " " + " ".join(re.findall(r"[a-z0-9]+", (t or "").lower())) + " "
+    want = {(d, i) for d, t in enumerate(texts) for i, x in items if norm(x).strip() and norm(x) in norm(t)}
+    for params in (decontaminate.LeakParams(), decontaminate.LeakParams(block_bytes=12)):
+        found = decontaminate.find_leaks(docs, table, params).collect()
+        got = {(r["doc_id"], r["item_id"]) for r in found}
+        assert {x for x in got if x[1] != 3} == {x for x in want if x[1] != 3} and {x for x in want if x[1] == 3} <= got
+        assert all(r["leak_score"] == 1.0 for r in found if r["item_id"] != 3)
+
+
 def test_leaks_edge_cases(spark):
     df = odd_docs(spark)
     items = spark.createDataFrame([(1, "the cat sat on the mat and the dog")], "item_id bigint, text string")
