@@ -3,13 +3,14 @@
 Two texts are linked when their sets of distinct word n-grams have Jaccard similarity of at least num / den. Every link
 between different sets is found:
 
-1. A text's set gets a class id (its size and a hash of it); equal sets are one class from here on.
+1. A text's set gets a class id (64 bits of its size and a hash of it); equal sets are one class from here on.
 2. Hash ranges of all shingles meet in one task each, as packed arrays, and find the shingles that two or more classes
    share. A class that shares less than the needed part of its set has no partner and is done; most texts end here.
    A shingle that is common within one slice of the input travels as one count for the slice, not once for each class.
-3. What remains keeps its shared shingles. Classes with an equal min-hash are compared in bounded runs, skipping pairs that
-   are connected already. These links connect nearly all of a family of copies, but decide nothing alone.
-4. Complete search: by the prefix principle, a linked pair shares a shingle among each set's first size - needed + 1 ones
+3. What remains keeps its shared shingles. First tiles: classes of one size band and one leading token, the first of a set
+   in the order of a hash, are compared in bounded pieces, skipping pairs that are connected already. These links connect
+   most of a family of copies, but decide nothing alone.
+4. All tiles: by the prefix principle, a linked pair shares a shingle among each set's first size - needed + 1 ones
    in the order of rarity. Prefix shingles held under different labels form tiles by size band, with the band below as
    guests; tiles are compared inside one task, in pieces of bounded size, and give only pairs that are not connected yet.
 5. Pairs are compared by bitmaps first: each shingle flips one of 512 bits, so the bits in which two bitmaps differ are
@@ -25,7 +26,7 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,6 @@ from pyspark.sql import functions as F
 from masterlink.llm.common import U64, Words, buffer_of, durable, mix, shingle_sets, slices, small_batches, string_array
 from masterlink.operators.graph import connected_components
 
-BYTES = 5  # of a shingle within its hash range
-LOW = U64((1 << 8 * BYTES) - 1)
 BITS = 512
 
 
@@ -50,7 +49,10 @@ class JaccardParams:
     #: Bytes of text in a slice, and classes of a slice from which a shingle is counted there instead of listed.
     slice_bytes: int = 8 << 20
     common: int = 32
-    #: Min-hash keys by which alike classes are grouped, and rows of a run or tile before it is split.
+    #: Bytes of text from which on slices and ranges grow with the input, and how many times at most.
+    growth_bytes: float = 256e9
+    most_growth: float = 4.0
+    #: Leading tokens by which first tiles are formed, and rows of a tile before it is split.
     keys: int = 2
     run_rows: int = 2000
 
@@ -104,17 +106,6 @@ def _batch(rows: list[list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(8)], names=_NAMES)
 
 
-def _pack(tokens: np.ndarray) -> bytes:
-    low = np.ascontiguousarray(tokens & LOW).astype("<u8").view(np.uint8).reshape(-1, 8)
-    return low[:, :BYTES].tobytes()
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // BYTES, 8), dtype=np.uint8)
-    out[:, :BYTES] = np.frombuffer(data, dtype=np.uint8).reshape(-1, BYTES)
-    return out.view("<u8").ravel().astype(np.uint64)
-
-
 def pack_shingles(rows: DataFrame, ranges: int, params: JaccardParams) -> DataFrame:
     """PACKED rows: for each slice and hash range, the slice's classes with their shingles in that range.
 
@@ -142,7 +133,7 @@ def pack_shingles(rows: DataFrame, ranges: int, params: JaccardParams) -> DataFr
                 frequent = count >= params.common
                 listed = np.repeat(frequent, count)
                 common, common_n = tokens[fresh[frequent]], count[frequent]
-                # The top bits choose the range, the low bits and the range tell shingles apart.
+                # The top bits choose the range; all bits tell shingles apart.
                 part_of = lambda t: ((t >> U64(32)) * U64(ranges) >> U64(32)).astype(np.int64)
                 out: list[list] = []
                 t, o = tokens[listed], own[listed]
@@ -157,7 +148,7 @@ def pack_shingles(rows: DataFrame, ranges: int, params: JaccardParams) -> DataFr
                     if len(tt) or c.start < c.stop:
                         by_doc = np.argsort(oo, kind="stable")
                         docs, n = np.unique(oo[by_doc], return_counts=True)
-                        out.append(_row(part, piece, cls[docs], (), n, _pack(tt[by_doc]), common[c], common_n[c]))
+                        out.append(_row(part, piece, cls[docs], (), n, tt[by_doc].tobytes(), common[c], common_n[c]))
                     if len(out) >= 16:
                         yield _batch(out)
                         out = []
@@ -179,7 +170,7 @@ def shared_shingles(packed: DataFrame, ranges: int) -> DataFrame:
             return group.select(_NAMES)
         cls = [np.frombuffer(r["cls"], np.int64) for r in rows]
         counts = [np.frombuffer(r["counts"], np.uint16) for r in rows]
-        tokens = [_unpack(r["tokens"]) for r in rows]
+        tokens = [np.frombuffer(r["tokens"], np.uint64) for r in rows]
         common = [np.frombuffer(r["common"], np.uint64) for r in rows]
         t = np.concatenate(tokens)
         owner = np.repeat(np.concatenate(cls), np.concatenate(counts))
@@ -194,7 +185,7 @@ def shared_shingles(packed: DataFrame, ranges: int) -> DataFrame:
         g, o = group_no[many][pairs], os_[many][pairs]
         distinct = np.concatenate((np.ones(min(1, len(g)), bool), (g[1:] != g[:-1]) | (o[1:] != o[:-1])))
         number += np.bincount(g[distinct], minlength=len(number))
-        extra = np.concatenate([np.zeros(0, np.uint64), *common]) & LOW
+        extra = np.concatenate([np.zeros(0, np.uint64), *common])
         extra_n = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["common_n"], np.int32) for r in rows)])
         unique = ts[begin]
         if len(extra):
@@ -215,10 +206,10 @@ def shared_shingles(packed: DataFrame, ranges: int) -> DataFrame:
             own, tt, lo = back[lo:hi], t[lo:hi], hi
             shared = own >= 2
             kept = np.add.reduceat(np.append(shared, 0).astype(np.int64), np.concatenate(([0], np.cumsum(n, dtype=np.int64)[:-1])))[: len(n)] if len(n) else np.zeros(0, int)
-            common_n = total[np.searchsorted(keys, x & LOW)] if len(x) else np.zeros(0, np.int64)
+            common_n = total[np.searchsorted(keys, x)] if len(x) else np.zeros(0, np.int64)
             has = kept > 0
             # Counts of the tokens, then of the common ones.
-            row = _row(r["part"], r["slice"], c[has], (), kept[has], _pack(tt[shared]), x, np.concatenate((own[shared], common_n)))
+            row = _row(r["part"], r["slice"], c[has], (), kept[has], tt[shared].tobytes(), x, np.concatenate((own[shared], common_n)))
             if shared.any() or len(x):
                 out.append(row)
         return pa.Table.from_batches([_batch(out)])
@@ -234,25 +225,24 @@ def kept_classes(shared: DataFrame, ranges: int, params: JaccardParams) -> DataF
 
     def apply(group: pa.Table) -> pa.Table:
         cls, token, number, listings = [], [], [], []
-        known: dict[int, tuple[int, int]] = {}
+        known: dict[int, int] = {}
         for r in group.to_pylist():
             c, n = np.frombuffer(r["cls"], np.int64), np.frombuffer(r["counts"], np.uint16)
+            t = np.frombuffer(r["tokens"], np.uint64)
             if r["part"] >= ranges:
-                listings.append((c, np.frombuffer(r["size"], np.int32), n, np.frombuffer(r["tokens"], np.uint64)))
+                listings.append((c, np.frombuffer(r["size"], np.int32), n, t))
                 continue
-            t, df = _unpack(r["tokens"]), np.frombuffer(r["common_n"], np.int32)
+            df = np.frombuffer(r["common_n"], np.int32)
             cls.append(np.repeat(c, n))
-            token.append((U64(r["part"]) << U64(8 * BYTES)) | t)
+            token.append(t)
             number.append(df[: len(t)])
-            known.update((k, (r["part"], d)) for k, d in zip(np.frombuffer(r["common"], np.uint64).tolist(), df[len(t) :].tolist(), strict=True))
+            known.update(zip(np.frombuffer(r["common"], np.uint64).tolist(), df[len(t) :].tolist(), strict=True))
         keys = np.array(sorted(known), dtype=np.uint64)
-        part = np.array([known[k][0] for k in keys.tolist()], dtype=np.uint64)
-        df_of = np.array([known[k][1] for k in keys.tolist()], dtype=np.int64)
+        df_of = np.array([known[k] for k in keys.tolist()], dtype=np.int64)
         for c, _, n, t in listings:
-            at = np.searchsorted(keys, t)
             cls.append(np.repeat(c, n))
-            token.append((part[at] << U64(8 * BYTES)) | (t & LOW) if len(t) else t)
-            number.append(df_of[at] if len(t) else np.zeros(0, np.int64))
+            token.append(t)
+            number.append(df_of[np.searchsorted(keys, t)] if len(t) else np.zeros(0, np.int64))
         all_cls, all_size = (np.concatenate([np.zeros(0, np.int64), *x]) for x in ([x[0] for x in listings], [x[1] for x in listings]))
         sorted_cls = np.argsort(all_cls, kind="stable")
         c, t, df = (np.concatenate([np.zeros(0, k), *x]) for x, k in ((cls, np.int64), (token, np.uint64), (number, np.int64)))
@@ -319,20 +309,21 @@ def bound_of(bits: np.ndarray, lengths: np.ndarray, k: int, others: slice) -> np
     return (lengths[others] + lengths[k] - np.bitwise_count(bits[others] ^ bits[k]).sum(1, dtype=np.int64)) // 2
 
 
-def group_alike(kept: DataFrame, params: JaccardParams) -> DataFrame:
-    """Links (a, b) found among classes with an equal min-hash: each class and the root of its group in a run.
+def leading_tiles(kept: DataFrame, params: JaccardParams) -> DataFrame:
+    """Links (a, b) found in tiles of a leading token and size band: each class and the root of its group in a tile.
 
-    A run compares each class with those before it that are not connected to it yet. Long runs are split at random, by
-    another choice for each key, so that the pieces of one key meet in another.
+    A class's leading token is the first of its set in the order of a hash, one order for each key. A tile compares each
+    class with those before it that are not connected to it yet. Large tiles are split at random, by another choice for
+    each key, so that the pieces of one key meet in another.
     """
-    rows = kept.select("cls", "size", "tokens", "bitmap", F.posexplode("keys").alias("which", "key"))
-    long_runs = rows.groupBy("which", "key").agg(F.count("*").alias("n")).filter(F.col("n") > params.run_rows)
-    rows = rows.join(long_runs, ["which", "key"], "left")
+    rows = kept.select("cls", "size", "tokens", "bitmap", band(F.col("size"), params).alias("band"), F.posexplode("keys").alias("which", "key"))
+    large = rows.groupBy("which", "key", "band").agg(F.count("*").alias("n")).filter(F.col("n") > params.run_rows)
+    rows = rows.join(large, ["which", "key", "band"], "left")
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("cls", "which"), F.coalesce(F.ceil(F.col("n") / params.run_rows), F.lit(1)))).drop("n")
-    rows = rows.repartition("which", "key", "salt").sortWithinPartitions("which", "key", "salt", "size", "cls")
+    rows = rows.repartition("which", "key", "band", "salt").sortWithinPartitions("which", "key", "band", "salt", "size", "cls")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cls, size, tokens, bits in sorted_runs(batches, ("which", "key", "salt"), ("cls", "size", "tokens", "bitmap")):
+        for cls, size, tokens, bits in sorted_runs(batches, ("which", "key", "band", "salt"), ("cls", "size", "tokens", "bitmap")):
             if len(cls) < 2:
                 continue
             arrays = [np.frombuffer(t, np.uint64) for t in tokens]
@@ -420,11 +411,14 @@ def band(size: Column, params: JaccardParams) -> Column:
 
 def class_links(rows: DataFrame, params: JaccardParams) -> DataFrame:
     """Links (a, b) between different classes of rows (id, text) that connect all linked classes."""
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).head()["n"]
+    size = small_batches(rows).agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).head()["n"]
+    # Slices times ranges is the number of packed rows: both get larger with the input, so that rows stay large.
+    grow = min(params.most_growth, max(1.0, size / params.growth_bytes))
+    params = replace(params, slice_bytes=int(params.slice_bytes * grow), range_shingles=int(params.range_shingles * grow))
     ranges = max(1, round(size / 6.2 / params.range_shingles))
     shared = shared_shingles(pack_shingles(rows, ranges, params), ranges)
     kept = durable(kept_classes(shared, ranges, params))
-    links = durable(group_alike(kept, params))
+    links = durable(leading_tiles(kept, params))
     groups = connected_components(links).withColumnRenamed("node", "cls")
     label = kept.select("cls", "size", "prefix").join(groups, "cls", "left")
     postings = label.select("cls", "size", F.coalesce("component", "cls").alias("label"), F.explode("prefix").alias("token"))
@@ -440,7 +434,7 @@ def class_links(rows: DataFrame, params: JaccardParams) -> DataFrame:
 def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_shingles, component_id) of every row: the smallest key reachable over links, its own included."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    classes = durable(doc_classes(rows, params))
+    classes = durable(doc_classes(rows, params).hint("rebalance"))
     links = durable(class_links(rows.select("text"), params))
     groups = connected_components(links)
     least = classes.filter(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("id").alias("least"), F.count("*").alias("n"))

@@ -7,11 +7,12 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from masterlink.llm import chat, html, jaccard, mixing, neighbours
+from masterlink.llm import chat, common, html, jaccard, mixing, neighbours
 
 DATA = "/root/testdata/sf0.01"
 
@@ -265,6 +266,27 @@ def test_bitmap_bounds_the_overlap_from_above():
         assert jaccard.overlap(a, b) == len(np.intersect1d(a, b)) <= bound
 
 
+def test_shingles_that_agree_in_many_bits_are_told_apart(spark):
+    """One-word texts whose shingles agree in the low 40 bits are not linked, in one range or many."""
+    low: dict[int, str] = {}
+    twins = []
+    for a in range(0, 4_000_000, 100_000):
+        words = [f"t{k}" for k in range(a, a + 100_000)]
+        data, offsets = common.buffer_of(pa.array(words, pa.large_string()))
+        for i, j in common.slices(offsets):
+            w = common.Words(data, offsets, i, j)
+            h = common.grams(w.hash, 1) ^ common.U64(0x5DEECE66D)
+            for word, x in zip(words[i:j], (h & common.U64((1 << 40) - 1)).tolist(), strict=True):
+                if x in low:
+                    twins.append((low[x], word))
+                low[x] = word
+    assert twins
+    rows = [(k, t) for k, t in enumerate(t for pair in twins for t in pair)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for params in (jaccard.JaccardParams(), jaccard.JaccardParams(common=2, growth_bytes=1.0)):
+        assert {(r["doc_id"], r["component_id"]) for r in jaccard.jaccard_components(df, params).collect()} == {(k, k) for k, _ in rows}
+
+
 def test_jaccard_of_no_rows(spark):
     assert jaccard.jaccard_components(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
@@ -396,6 +418,17 @@ def test_pipeline_stages(spark, tmp_path):
     assert {r["doc_id"] for r in out.collect()} == kept[4]
 
 
+def test_near_copies_leave_one_row(spark):
+    """Equal rows, rows of one key with other texts, and null keys: one row of each linked group stays, against all pairs."""
+    base = " ".join(f"word{i}" for i in range(40))
+    other = " ".join(f"term{i}" for i in range(40))
+    third = " ".join(f"unit{i}" for i in range(9))
+    rows = [(1, base, "en", "s", 1)] * 3 + [(1, other, "en", "s", 1), (2, base + " end", "en", "s", 1), (None, other, "en", "s", 1), (None, third, None, None, None), (None, third, None, None, None), (None, third.upper(), None, None, None), (7, "", "en", "s", 0), (7, "", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").withColumn("extra", F.lit(1)).repartition(3)
+    out = Counter((r["doc_id"], (r["text"] or "").lower()) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect())
+    assert out == Counter([(1, base), (1, other), (None, third), (7, "")])
+
+
 def test_pipeline_without_rows(spark, tmp_path):
     spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
