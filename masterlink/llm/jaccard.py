@@ -49,6 +49,8 @@ class JaccardParams:
     #: Bytes of text in a slice, and classes of a slice from which a shingle is counted there instead of listed.
     slice_bytes: int = 8 << 20
     common: int = 32
+    #: Bytes of text from which on there are 256 ranges at least.
+    small_bytes: int = 32 << 20
     #: Bytes of text from which on slices and ranges grow with the input, and how many times at most.
     growth_bytes: float = 256e9
     most_growth: float = 4.0
@@ -106,6 +108,29 @@ def _batch(rows: list[list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(8)], names=_NAMES)
 
 
+def part_of(tokens: np.ndarray, ranges: int) -> np.ndarray:
+    """The hash range of each token: its top 32 bits, scaled."""
+    return ((tokens >> U64(32)) * U64(ranges) >> U64(32)).astype(np.int64)
+
+
+def pack(tokens: np.ndarray, ranges: int) -> bytes:
+    """Tokens of one range: from 256 ranges on, the range and the low 56 bits tell all 64."""
+    if ranges < 256:
+        return tokens.tobytes()
+    return np.ascontiguousarray(tokens).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+
+
+def unpack(data: bytes, part: int, ranges: int) -> np.ndarray:
+    if ranges < 256:
+        return np.frombuffer(data, np.uint64)
+    out = np.zeros((len(data) // 7, 8), dtype=np.uint8)
+    out[:, :7] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 7)
+    low = out.view("<u8").ravel().astype(np.uint64)
+    first = -(-(part << 32) // ranges)  # the least top 32 bits of the range, which has at most 2**24 of them
+    top = U64(first) + (((low >> U64(32)) - U64(first)) & U64((1 << 24) - 1))
+    return (top << U64(32)) | (low & U64((1 << 32) - 1))
+
+
 def pack_shingles(rows: DataFrame, ranges: int, params: JaccardParams) -> DataFrame:
     """PACKED rows: for each slice and hash range, the slice's classes with their shingles in that range.
 
@@ -134,21 +159,20 @@ def pack_shingles(rows: DataFrame, ranges: int, params: JaccardParams) -> DataFr
                 listed = np.repeat(frequent, count)
                 common, common_n = tokens[fresh[frequent]], count[frequent]
                 # The top bits choose the range; all bits tell shingles apart.
-                part_of = lambda t: ((t >> U64(32)) * U64(ranges) >> U64(32)).astype(np.int64)
                 out: list[list] = []
                 t, o = tokens[listed], own[listed]
                 by_doc = np.argsort(o, kind="stable")
                 out.append(_row(ranges + piece % ranges, piece, cls[keep], size[keep], np.bincount(o, minlength=len(cls))[keep], t[by_doc].tobytes()))
                 t, o = tokens[~listed], own[~listed]
-                cuts = np.searchsorted(part_of(t), np.arange(ranges + 1))
-                common_cuts = np.searchsorted(part_of(common), np.arange(ranges + 1))
+                cuts = np.searchsorted(part_of(t, ranges), np.arange(ranges + 1))
+                common_cuts = np.searchsorted(part_of(common, ranges), np.arange(ranges + 1))
                 for part in range(ranges):
                     tt, oo = t[cuts[part] : cuts[part + 1]], o[cuts[part] : cuts[part + 1]]
                     c = slice(common_cuts[part], common_cuts[part + 1])
                     if len(tt) or c.start < c.stop:
                         by_doc = np.argsort(oo, kind="stable")
                         docs, n = np.unique(oo[by_doc], return_counts=True)
-                        out.append(_row(part, piece, cls[docs], (), n, tt[by_doc].tobytes(), common[c], common_n[c]))
+                        out.append(_row(part, piece, cls[docs], (), n, pack(tt[by_doc], ranges), common[c], common_n[c]))
                     if len(out) >= 16:
                         yield _batch(out)
                         out = []
@@ -170,7 +194,7 @@ def shared_shingles(packed: DataFrame, ranges: int) -> DataFrame:
             return group.select(_NAMES)
         cls = [np.frombuffer(r["cls"], np.int64) for r in rows]
         counts = [np.frombuffer(r["counts"], np.uint16) for r in rows]
-        tokens = [np.frombuffer(r["tokens"], np.uint64) for r in rows]
+        tokens = [unpack(r["tokens"], r["part"], ranges) for r in rows]
         common = [np.frombuffer(r["common"], np.uint64) for r in rows]
         t = np.concatenate(tokens)
         owner = np.repeat(np.concatenate(cls), np.concatenate(counts))
@@ -209,7 +233,7 @@ def shared_shingles(packed: DataFrame, ranges: int) -> DataFrame:
             common_n = total[np.searchsorted(keys, x)] if len(x) else np.zeros(0, np.int64)
             has = kept > 0
             # Counts of the tokens, then of the common ones.
-            row = _row(r["part"], r["slice"], c[has], (), kept[has], tt[shared].tobytes(), x, np.concatenate((own[shared], common_n)))
+            row = _row(r["part"], r["slice"], c[has], (), kept[has], pack(tt[shared], ranges), x, np.concatenate((own[shared], common_n)))
             if shared.any() or len(x):
                 out.append(row)
         return pa.Table.from_batches([_batch(out)])
@@ -228,10 +252,10 @@ def kept_classes(shared: DataFrame, ranges: int, params: JaccardParams) -> DataF
         known: dict[int, int] = {}
         for r in group.to_pylist():
             c, n = np.frombuffer(r["cls"], np.int64), np.frombuffer(r["counts"], np.uint16)
-            t = np.frombuffer(r["tokens"], np.uint64)
             if r["part"] >= ranges:
-                listings.append((c, np.frombuffer(r["size"], np.int32), n, t))
+                listings.append((c, np.frombuffer(r["size"], np.int32), n, np.frombuffer(r["tokens"], np.uint64)))
                 continue
+            t = unpack(r["tokens"], r["part"], ranges)
             df = np.frombuffer(r["common_n"], np.int32)
             cls.append(np.repeat(c, n))
             token.append(t)
@@ -415,7 +439,8 @@ def class_links(rows: DataFrame, params: JaccardParams) -> DataFrame:
     # Slices times ranges is the number of packed rows: both get larger with the input, so that rows stay large.
     grow = min(params.most_growth, max(1.0, size / params.growth_bytes))
     params = replace(params, slice_bytes=int(params.slice_bytes * grow), range_shingles=int(params.range_shingles * grow))
-    ranges = max(1, round(size / 6.2 / params.range_shingles))
+    # Packed tokens are shorter from 256 ranges on.
+    ranges = max(256 if size > params.small_bytes else 1, round(size / 6.2 / params.range_shingles))
     shared = shared_shingles(pack_shingles(rows, ranges, params), ranges)
     kept = durable(kept_classes(shared, ranges, params))
     links = durable(leading_tiles(kept, params))

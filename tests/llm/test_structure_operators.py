@@ -246,7 +246,7 @@ def near_copies(seed, docs, words):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "words", "params"), [(1, 500, {}), (2, 6, {}), (3, 300, {"run_rows": 7, "range_shingles": 300, "common": 3, "slice_bytes": 3000, "keys": 1}), (4, 40, {"run_rows": 5, "keys": 1, "common": 2})])
+@pytest.mark.parametrize(("seed", "words", "params"), [(1, 500, {}), (2, 6, {}), (3, 300, {"run_rows": 7, "range_shingles": 300, "common": 3, "slice_bytes": 3000, "keys": 1}), (4, 40, {"run_rows": 5, "keys": 1, "common": 2}), (5, 200, {"small_bytes": 1, "run_rows": 9})])
 def test_components_against_all_pairs(spark, seed, words, params):
     rows = [*near_copies(seed, 350, words), (None, "a b c d e f g"), (7, "a b c d e f g"), (8, None), (8, None), (9, "same"), (9, "SAME"), (10, "x " * 4000)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("cls", F.lit("old")).repartition(3)
@@ -256,6 +256,17 @@ def test_components_against_all_pairs(spark, seed, words, params):
     assert len({c for _, _, c in want}) < len(rows) - 20
 
 
+@pytest.mark.parametrize("ranges", [1, 255, 256, 257, 1000, 70_001])
+def test_packed_tokens_keep_all_bits(ranges):
+    rng = np.random.default_rng(ranges)
+    tokens = np.concatenate((rng.integers(0, 1 << 64, 3000, dtype=np.uint64), np.array([0, 1, (1 << 64) - 1, 1 << 63, (1 << 56) - 1, 1 << 56], dtype=np.uint64)))
+    parts = jaccard.part_of(tokens, ranges)
+    assert parts.min() >= 0 and parts.max() < ranges
+    for p in np.unique(parts)[:: max(1, ranges // 50)].tolist():
+        own = tokens[parts == p]
+        assert (jaccard.unpack(jaccard.pack(own, ranges), p, ranges) == own).all()
+
+
 def test_bitmap_bounds_the_overlap_from_above():
     rng = np.random.default_rng(3)
     for _ in range(300):
