@@ -145,7 +145,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 _P = mixing.MixParams()
 OP9_SQL = f"""
 WITH RECURSIVE n AS (SELECT source, count(*) AS n, pow(count(*), {_P.temper}) AS w FROM documents GROUP BY source),
-c AS (SELECT source, row_number() OVER (ORDER BY source) AS i, greatest(1, CAST(round(w / sum(w) OVER () * {_P.period}) AS INT)) AS c FROM n),
+c AS (SELECT source, row_number() OVER (ORDER BY source) AS i, greatest(1, CAST(round(w / sum(w) OVER () * {_P.units}) AS INT)) AS c FROM n),
 l AS (SELECT list(c ORDER BY i) AS c, CAST(sum(c) AS BIGINT) AS p FROM c),
 e(t, done, pick) AS (
   SELECT -1, list_transform(c, lambda x: 0), 0 FROM l

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -384,6 +385,42 @@ def test_schedule_stays_within_a_block_of_the_weights(spark, weights):
     assert max(places.values()) == 1
 
 
+@pytest.mark.parametrize(
+    ("weights", "sizes", "params"),
+    [
+        ({"a": 0.5003, "b": 0.4997}, {"a": 5003, "b": 4997}, {}),
+        ({"a": 0.6, "b": 0.3998, "c": 0.0002}, {"a": 6000, "b": 3998, "c": 2}, {"broadcast_slots": 0}),
+        ({"a": 1 / 3, "b": 1 / 3, "c": 0.1234567890123, None: 0.2}, {"a": 300, "b": 700, "c": 250, None: 100}, {}),
+        ({f"s{k}": 1.0 + k / 7 for k in range(12)}, {f"s{k}": 40 + 3 * k for k in range(12)}, {}),
+    ],
+)
+def test_schedule_stays_within_a_block_of_the_given_weights(spark, weights, sizes, params):
+    """Against exact fractions of the given weights, for each slot until a source runs out."""
+    rows = [(i * 20 + k, s) for k, s in enumerate(sizes) for i in range(sizes[s])]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string")
+    out = mixing.mix_sources(df, weights, mixing.MixParams(block_rows=1, range_rows=100, **params)).collect()
+    assert Counter(r["doc_id"] for r in out) == Counter(d for d, _ in rows)
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    total = sum(exact.values())
+    at = {r["mix_slot"]: r["source"] for r in out}
+    assert len(at) == len(rows)
+    done = Counter()
+    for t in range(max(at) + 1):
+        if t in at:
+            done[at[t]] += 1
+        for s in sizes:
+            if done[s] < sizes[s]:
+                assert abs(done[s] - (t + 1) * exact[s] / total) < 1
+
+
+def test_columns_with_names_of_the_mixture(spark):
+    names = ["before", "slots", "range", "n", "c", "p", "block", "slot", "source_", "key"]
+    df = spark.createDataFrame([(k, f"s{k % 3}") for k in range(50)], "doc_id bigint, source string").withColumns({n: F.lit(n) for n in names})
+    out = mixing.mix_sources(df)
+    assert out.columns == [*df.columns, *mixing.NEW]
+    assert out.count() == 50 and all(r[n] == n for r in out.collect() for n in names)
+
+
 def test_mixing_edge_cases(spark):
     df = spark.createDataFrame([(1, None), (1, None), (None, "a"), (None, "a"), (3, "a")], "doc_id bigint, source string")
     out = mixing.mix_sources(df)
