@@ -7,20 +7,26 @@ column blocks: block after block adds to the candidates' partial distances, and
 whose partial distance, scaled up to all dimensions, lies significantly beyond the k-th best so far. What is left is
 scored in double precision on the original vectors.
 
-A list, a hot one too, is cut into tiles, and its queries into blocks, so that a task holds a bounded number of either;
-each pair of a tile and a block gives its own k best, and a last step merges them. More dimensions and centroids are
-never sent than the parameters bound.
-
-Edge cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do those whose length is
-not the most frequent one; ties go to the smaller key; a query is compared with all rows of other keys, so rows that
-repeat its key are left out with it (the one with the least vector asks); with fewer than k candidates, all are returned; an empty table gives an empty
-result; null keys take no part.
+The number of lists grows with the root of the table; from some thousand on, centroids are learned and vectors filed in two
+levels. Small lists go together and large ones, a hot one too, are cut, so that tiles hold about equally many vectors. Each
+vector is sent once, to its tile; each query is sent to the tiles whose lists it probes, and streams past a tile's vectors
+in blocks. Each pair of a tile and a query gives its own k best, and a last step merges them. Tiles get larger with the
+table, up to a bound, so that queries are sent to a bounded number of tiles until then.
+
+Vectors of different lengths have no inner product: queries of one length are answered from vectors of that length.
+
+Edge cases: vectors that are null, zero, or hold null or non-finite components take no part; ties go to the smaller key; a
+query is compared with all rows of other keys, so rows that repeat its key are left out with it (the one with the least
+vector asks); with fewer than k candidates, all are returned; an empty table gives an empty result; null keys take no part;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +40,22 @@ from masterlink.llm.common import durable, hash_fraction
 @dataclass(frozen=True)
 class NeighbourParams:
     k: int = 20
-    #: Vectors of the sample on which centroids are learned, at most, and rounds of k-means.
+    #: Vectors of the sample on which centroids are learned: so many, or four for each list if these are more; and rounds
+    #: of k-means. The number of lists is the root of that of vectors; beyond the bound, lists get longer.
     sample_rows: int = 16_000
     rounds: int = 8
-    max_lists: int = 4096
+    max_lists: int = 65_536
+    #: Lists from which on centroids have two levels, and upper ones among whose lists a vector's is sought.
+    flat_lists: int = 2048
+    tried: int = 4
     #: Share of the lists that a query probes, and candidates that they hold at least. Well-clustered vectors need a
     #: few hundredths; near-random ones, as those of the registered query, need over half for a recall of 0.9.
-    probed_share: float = 0.6
+    probed_share: float = 0.65
     least_candidates: int = 400
-    tile_rows: int = 8192
+    #: Vectors of a tile, about: a share of the table within bounds; and queries of a block.
+    tile_share: float = 1 / 32
+    tile_rows: int = 256
+    most_tile: int = 65_536
     query_rows: int = 2048
     #: Dimensions of a column block and strictness of the test: the larger, the fewer wrongly abandoned.
     block: int = 16
@@ -52,8 +65,31 @@ class NeighbourParams:
     seed: int = 5
 
 
+def k_means(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.ndarray:
+    """k centroids of the rows; fewer if there are fewer rows."""
+    centroids = x[rng.permutation(len(x))[:k]].copy()
+    for _ in range(rounds if len(x) > len(centroids) else 0):
+        own = closest(x, centroids)
+        n = np.bincount(own, minlength=len(centroids))
+        sums = np.zeros_like(centroids)
+        np.add.at(sums, own, x)
+        full = n > 0
+        centroids[full] = sums[full] / n[full][:, None]
+    return centroids
+
+
+def distances(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Squared, but for the rows' own norms."""
+    return (centroids**2).sum(1) - 2 * x @ centroids.T
+
+
+def closest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    step = max(1, (1 << 22) // len(centroids))
+    return np.concatenate([np.zeros(0, np.int64), *(distances(x[a : a + step], centroids).argmin(1) for a in range(0, len(x), step))])
+
+
 class Lists:
-    """Rotation, centroids and the sizes of lists."""
+    """Rotation, centroids, in two levels if there are many, and the sizes of lists."""
 
     def __init__(self, sample: np.ndarray, n_lists: int, top_norm2: float, params: NeighbourParams):
         self.params, self.top = params, top_norm2
@@ -62,14 +98,19 @@ class Lists:
         q, r = np.linalg.qr(rng.normal(size=(d, d)))
         self.rotation = q * np.sign(np.diag(r))
         x = self.lifted(sample)
-        self.centroids = x[rng.permutation(len(x))[:n_lists]].copy()
-        for _ in range(params.rounds if len(x) > len(self.centroids) else 0):
-            own = self.nearest(x)
-            n = np.bincount(own, minlength=len(self.centroids))
-            sums = np.zeros_like(self.centroids)
-            np.add.at(sums, own, x)
-            full = n > 0
-            self.centroids[full] = sums[full] / n[full][:, None]
+        self.coarse: np.ndarray | None = None
+        if n_lists <= params.flat_lists:
+            self.centroids = k_means(x, n_lists, params.rounds, rng)
+        else:
+            self.coarse = k_means(x, round(n_lists**0.5), params.rounds, rng)
+            own = closest(x, self.coarse)
+            parts = []
+            for c in range(len(self.coarse)):
+                inside = x[own == c] if (own == c).any() else self.coarse[c : c + 1]
+                parts.append(k_means(inside, max(1, round(n_lists * len(inside) / len(x))), params.rounds, rng))
+            self.centroids = np.concatenate(parts)
+            #: Each coarse centroid's lists are those from one of these numbers up to the next.
+            self.begin = np.cumsum([0, *(len(p) for p in parts)])
         self.sizes = np.zeros(len(self.centroids), dtype=np.int64)
 
     def lifted(self, x: np.ndarray, query: bool = False) -> np.ndarray:
@@ -77,16 +118,28 @@ class Lists:
         more = np.zeros(len(x)) if query else np.sqrt(np.maximum(0.0, self.top - (x * x).sum(1)))
         return np.column_stack((x, more)) @ self.rotation
 
-    def distances(self, x: np.ndarray) -> np.ndarray:
-        return (self.centroids**2).sum(1) - 2 * x @ self.centroids.T
-
     def nearest(self, x: np.ndarray) -> np.ndarray:
-        return np.concatenate([np.zeros(0, np.int64), *(self.distances(x[a : a + 2048]).argmin(1) for a in range(0, len(x), 2048))])
+        if self.coarse is None:
+            return closest(x, self.centroids)
+        out, least = np.zeros(len(x), dtype=np.int64), np.full(len(x), np.inf)
+        for a in range(0, len(x), 4096):
+            part = slice(a, a + 4096)
+            for upper in np.argsort(distances(x[part], self.coarse), axis=1)[:, : self.params.tried].T:
+                for c in np.unique(upper):
+                    rows = a + np.flatnonzero(upper == c)
+                    far = distances(x[rows], self.centroids[self.begin[c] : self.begin[c + 1]])
+                    own = far.argmin(1)
+                    far = far[np.arange(len(rows)), own]
+                    closer = far < least[rows]
+                    out[rows[closer]] = self.begin[c] + own[closer]
+                    least[rows[closer]] = far[closer]
+        return out
 
     def probed(self, x: np.ndarray) -> list[np.ndarray]:
         out, least = [], max(1, round(self.params.probed_share * len(self.centroids)))
-        for a in range(0, len(x), 2048):
-            for row in np.argsort(self.distances(x[a : a + 2048]), axis=1, kind="stable"):
+        step = max(1, (1 << 22) // len(self.centroids))
+        for a in range(0, len(x), step):
+            for row in np.argsort(distances(x[a : a + step], self.centroids), axis=1, kind="stable"):
                 held = np.cumsum(self.sizes[row])
                 out.append(row[: max(least, int(np.searchsorted(held, self.params.least_candidates)) + 1)])
         return out
@@ -174,25 +227,34 @@ def matrix(col: pa.Array) -> np.ndarray:
 
 def nearest_neighbours(rows: DataFrame, is_query: Column, params: NeighbourParams = NeighbourParams(), id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, id_col, score) of the k best of each row for which is_query (a condition on id_col) holds."""
-    spark = rows.sparkSession
     v = F.col("vector")
-    ok = rows.select(F.col(id_col).cast("long").alias("id"), is_query.alias("asks"), F.col(vector_col).cast("array<float>").alias("vector"))
+    element = rows.schema[vector_col].dataType.elementType.simpleString()
+    kind = "float" if element == "float" else "double"
+    ok = rows.select(F.col(id_col).cast("long").alias("id"), is_query.alias("asks"), F.col(vector_col).cast(f"array<{kind}>").alias("vector"))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     norm2 = F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     ok = ok.filter(F.col("id").isNotNull() & v.isNotNull() & finite).withColumn("norm2", norm2).filter("norm2 > 0")
-    size = ok.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n"), F.max("norm2").alias("top")).orderBy(F.desc("n"), "d").head()
-    result = f"query_id long, rank int, {id_col} long, score double"
-    if size is None:
-        return spark.createDataFrame([], result)
-    ok = ok.filter(F.size("vector") == size["d"]).select("id", "asks", "vector")
-    share = min(1.0, params.sample_rows / size["n"])
-    sample = ok.filter(hash_fraction(F.struct("id", "vector"), params.seed) < share).select("id", "vector").limit(2 * params.sample_rows).toArrow()
+    # One row for each length of vectors: a table has one, or a few.
+    sizes = ok.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n"), F.max("norm2").alias("top"), F.count_if("asks").alias("asked")).filter("asked > 0").orderBy("d").collect()
+    found = [_search(ok.filter(F.size("vector") == r["d"]).select("id", "asks", "vector"), r["n"], r["top"], kind, params) for r in sizes]
+    if not found:
+        return rows.sparkSession.createDataFrame([], f"query_id long, rank int, {id_col} long, score double")
+    best = W.partitionBy("query_id").orderBy(F.desc("score"), "found")
+    ranked = reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= params.k)
+    return ranked.select("query_id", "rank", F.col("found").alias(id_col), "score")
+
+
+def _search(ok: DataFrame, n: int, top: float, kind: str, params: NeighbourParams) -> DataFrame:
+    """(query_id, found, score): the k best of each tile for rows (id, asks, vector) of one length."""
+    spark = ok.sparkSession
+    n_lists = max(1, min(params.max_lists, round(n**0.5)))
+    wanted = max(params.sample_rows, 4 * n_lists)
+    sample = ok.filter(hash_fraction(F.struct("id", "vector"), params.seed) < min(1.0, wanted / n)).select("id", "vector").limit(2 * wanted).toArrow()
     order = np.argsort(sample["id"].to_numpy(), kind="stable")
     learn = matrix(sample["vector"].combine_chunks())[order].reshape(len(order), -1)
     if not len(learn):
         learn = matrix(ok.select("vector").limit(1).toArrow()["vector"].combine_chunks())
-    n_lists = max(1, min(params.max_lists, round(size["n"] ** 0.5), len(learn)))
-    lists = Lists(learn, n_lists, size["top"], params)
+    lists = Lists(learn, min(n_lists, len(learn)), top, params)
     model = spark.sparkContext.broadcast(lists)
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,9 +262,19 @@ def nearest_neighbours(rows: DataFrame, is_query: Column, params: NeighbourParam
             own = model.value.nearest(model.value.lifted(matrix(b.column("vector"))))
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), *b.columns], names=["list", "id", "asks", "vector"])
 
-    filed = durable(ok.mapInArrow(file, "list int, id long, asks boolean, vector array<float>"))
+    filed = durable(ok.mapInArrow(file, f"list int, id long, asks boolean, vector array<{kind}>"))
     for r in filed.groupBy("list").agg(F.count("*").alias("n")).collect():  # max_lists rows at most
         lists.sizes[r["list"]] = r["n"]
+    # Lists go together in bundles of about a tile; a larger list is cut into tiles. Tiles are numbered one after another.
+    tile = min(params.most_tile, max(params.tile_rows, int(n * params.tile_share)))
+    bundle_of, rooms = [], [0]
+    for size in lists.sizes.tolist():
+        if rooms[-1] and rooms[-1] + size > tile:
+            rooms.append(0)
+        rooms[-1] += size
+        bundle_of.append(len(rooms) - 1)
+    n_tiles = [max(1, -(-room // tile)) for room in rooms]
+    first_tile = np.cumsum([0, *n_tiles]).tolist()
     probing = spark.sparkContext.broadcast(lists)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,40 +284,50 @@ def nearest_neighbours(rows: DataFrame, is_query: Column, params: NeighbourParam
             for probes in m.probed(m.lifted(matrix(b.column("vector")), query=True)):
                 by_bundle: dict[int, list[int]] = {}
                 for k in probes.tolist():
-                    by_bundle.setdefault(bundles[k], []).append(k)
-                rows.append([{"bundle": n, "tiles": tiles[n], "lists": ks} for n, ks in by_bundle.items()])
-            kind = pa.list_(pa.struct([("bundle", pa.int32()), ("tiles", pa.int32()), ("lists", pa.list_(pa.int32()))]))
-            yield pa.RecordBatch.from_arrays([pa.array(rows, kind), b.column("id"), b.column("vector")], names=["bundles", "id", "vector"])
-
-    # Lists go together in bundles of about tile_rows vectors; a larger list is cut into tiles.
-    bundle, room, bundles, tiles = 0, 0, [], []
-    for n in lists.sizes.tolist():
-        if room + n > params.tile_rows and room:
-            bundle, room = bundle + 1, 0
-        room += n
-        bundles.append(bundle)
-        tiles[bundle:] = [max(1, -(-room // params.tile_rows))]
-    n_asked = filed.filter("asks").count()
-    # Queries per bundle: all of them at most.
-    q_blocks = max(1, round(n_asked / params.query_rows))
-    places = spark.createDataFrame([(k, b, tiles[b]) for k, b in enumerate(bundles)], "list int, bundle int, tiles int")
-    asked = filed.filter("asks").groupBy("id").agg(F.min("vector").alias("vector")).mapInArrow(probe, "bundles array<struct<bundle:int,tiles:int,lists:array<int>>>, id long, vector array<float>")
-    asked = asked.select(F.inline("bundles"), "id", "vector")
-    left = asked.select("bundle", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), F.pmod(F.xxhash64("id"), F.lit(q_blocks)).cast("int").alias("part"), "id", "lists", "vector")
+                    by_bundle.setdefault(bundle_of[k], []).append(k)
+                rows.append([{"tile": t, "lists": ks} for n, ks in by_bundle.items() for t in range(first_tile[n], first_tile[n + 1])])
+            out = pa.list_(pa.struct([("tile", pa.int32()), ("lists", pa.list_(pa.int32()))]))
+            yield pa.RecordBatch.from_arrays([pa.array(rows, out), b.column("id"), b.column("vector")], names=["tiles", "id", "vector"])
+
+    places = spark.createDataFrame([(k, first_tile[b], n_tiles[b]) for k, b in enumerate(bundle_of)], "list int, first int, cut int")
     held = filed.join(F.broadcast(places), "list")  # max_lists rows at most
-    right = held.select("bundle", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int").alias("tile"), F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("part"), "id", "list", "vector")
-
-    def scan(key, asked: pa.Table, held: pa.Table) -> pa.Table:
-        out = [np.zeros(0, t) for t in (np.int64, np.int64, np.float64)]
-        if asked.num_rows and held.num_rows:
-            q, x = matrix(asked["vector"].combine_chunks()), matrix(held["vector"].combine_chunks())
-            q_ids, ids = asked["id"].to_numpy(), held["id"].to_numpy()
-            i, j, score = scan_tile(q, q_ids, [np.array(p) for p in asked["lists"].to_pylist()], x, ids, held["list"].to_numpy(), model.value)
-            out = [q_ids[i], ids[j], score]
-        return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "found", "score"])
-
-    keys = ["bundle", "tile", "part"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(scan, "query_id long, found long, score double")
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "found")
-    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= params.k)
-    return ranked.select("query_id", "rank", F.col("found").alias(id_col), "score")
+    number = (F.col("first") + F.pmod(F.xxhash64("id"), F.col("cut"))).cast("int")
+    held = held.select(number.alias("tile"), F.lit(False).alias("asks"), "id", F.array("list").alias("lists"), "vector")
+    asked = filed.filter("asks").groupBy("id").agg(F.min("vector").alias("vector")).mapInArrow(probe, f"tiles array<struct<tile:int,lists:array<int>>>, id long, vector array<{kind}>")
+    asked = asked.select(F.inline("tiles"), "id", "vector").select("tile", F.lit(True).alias("asks"), "id", "lists", "vector")
+    both = held.unionByName(asked).repartitionById(first_tile[-1], F.col("tile")).sortWithinPartitions("tile", "asks")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A tile's vectors come before its queries, which are taken in blocks."""
+        now, vectors, queries = None, [], []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if queries and vectors:
+                if len(vectors) > 1:
+                    vectors[:] = [pa.concat_batches(vectors)]
+                q, x = pa.concat_batches(queries), vectors[0]
+                q_ids, ids = q.column("id").to_numpy(), x.column("id").to_numpy()
+                probes = [np.array(p) for p in q.column("lists").to_pylist()]
+                i, j, score = scan_tile(matrix(q.column("vector")), q_ids, probes, matrix(x.column("vector")), ids, x.column("lists").flatten().to_numpy(), model.value)
+                yield pa.RecordBatch.from_arrays([pa.array(q_ids[i], pa.int64()), pa.array(ids[j], pa.int64()), pa.array(score, pa.float64())], names=["query_id", "found", "score"])
+            queries.clear()
+
+        for b in batches:
+            tiles, asks = b.column("tile").to_numpy(), b.column("asks").to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((tiles[1:] != tiles[:-1]) | (asks[1:] != asks[:-1])) + 1
+            for lo, hi in pairwise([0, *cuts.tolist(), len(tiles)]):
+                if lo == hi:
+                    continue
+                if tiles[lo] != now:
+                    yield from flush()
+                    now = tiles[lo]
+                    vectors.clear()
+                if not asks[lo]:
+                    vectors.append(b.slice(lo, hi - lo))
+                    continue
+                queries.append(b.slice(lo, hi - lo))
+                if sum(map(len, queries)) >= params.query_rows:
+                    yield from flush()
+        yield from flush()
+
+    return both.mapInArrow(scan, "query_id long, found long, score double")

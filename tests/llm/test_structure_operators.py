@@ -345,6 +345,40 @@ def test_neighbours_are_exact_when_all_lists_are_probed(spark):
     assert {q: [i for i, _ in v] for q, v in want.items()} == found
 
 
+def test_doubles_keep_their_digits_and_lengths_stay_apart(spark):
+    rng = np.random.default_rng(9)
+    vectors = {int(i): rng.normal(size=6) for i in range(300)}
+    vectors |= {1000 + int(i): rng.normal(size=3) + 1e-9 for i in range(90)}
+    vectors[7] = vectors[20] + 1e-12  # floats would not tell them apart
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id bigint, embedding array<double>")
+    out = neighbours.nearest_neighbours(df, F.col("vec_id") % 20 == 0, neighbours.NeighbourParams(probed_share=1.0, strictness=50.0)).collect()
+    for lo, hi in ((0, 1000), (1000, 2000)):
+        own = {i: v for i, v in vectors.items() if lo <= i < hi}
+        for q, want in brute_neighbours(own, [i for i in own if i % 20 == 0]).items():
+            got = [(r["vec_id"], r["score"]) for r in sorted(out, key=lambda r: r["rank"]) if r["query_id"] == q]
+            assert [i for i, _ in got] == [i for i, _ in want] and [s for _, s in got] == pytest.approx([s for _, s in want], abs=1e-15)
+
+
+@pytest.mark.parametrize("table", ["sf0.1", "check_s"])
+def test_recall_on_larger_tables(spark, table):
+    """With centroids in two levels on the first; each query counts, against all products."""
+    rows = spark.read.parquet(f"/root/testdata/{table}/embeddings.parquet")
+    params = neighbours.NeighbourParams(flat_lists=20) if table == "sf0.1" else neighbours.NeighbourParams()
+    found = defaultdict(set)
+    for r in neighbours.nearest_neighbours(rows, F.col("vec_id") % 20 == 0, params).collect():
+        found[r["query_id"]].add(r["vec_id"])
+    kept = [(r["vec_id"], r["embedding"]) for r in rows.filter("vec_id IS NOT NULL AND embedding IS NOT NULL").collect()]
+    kept = [(i, v) for i, v in kept if None not in v and np.isfinite(v).all() and np.any(v) and len(v) == len(kept[0][1])]
+    ids, x = np.array([i for i, _ in kept]), np.array([v for _, v in kept], dtype=np.float64)
+    hits = total = 0
+    for q in np.unique(ids[ids % 20 == 0]):
+        score = x @ x[np.flatnonzero(ids == q)[0]]
+        score[ids == q] = -np.inf
+        want = set(ids[np.argsort(-score, kind="stable")[:20]].tolist())
+        hits, total = hits + len(want & found[int(q)]), total + len(want)
+    assert total > 1000 and hits >= 0.9 * total
+
+
 def test_few_or_no_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [1.0, 0.0]), (0, [1.0, 0.0])], "vec_id bigint, embedding array<float>")
     out = [(r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.nearest_neighbours(df, F.col("vec_id") == 0).orderBy("rank").collect()]
