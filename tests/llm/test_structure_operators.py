@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
 from fractions import Fraction
+from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
@@ -132,6 +134,93 @@ def test_wrappers_count_distinct_pages(spark):
     assert row["pages"] == 5 and [max(x[html.FREQUENT].values()) for x in html.slots(html.load(row["wrapper"]))] == [5]
 
 
+class ArticleReader(HTMLParser):
+    """Blocks of the article element, read by the standard library's parser: the pages of the test tables mark it so."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.blocks = 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        if tag == "br":
+            self.blocks[-1] += " "
+        elif tag not in ("b", "a"):
+            self.blocks.append("")
+
+    def handle_endtag(self, tag):
+        self.inside -= tag == "article"
+        if tag not in ("b", "a"):
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.inside:
+            self.blocks[-1] += data
+
+
+def test_pages_against_a_plain_reader(spark):
+    """All pages of two tables; and the wrapper, without any list of tags or classes, gives the same text of most pages."""
+    for table, share in (("sf0.1", 0.5), ("sf0.01", 0.1)):
+        rows = spark.read.parquet(f"/root/testdata/{table}/pages.parquet")
+        got = {r["page_id"]: (r["main_text"], r["by_wrapper"]) for r in html.extract_main_text(rows).collect()}
+        alone = {r["page_id"]: (r["main_text"], r["by_wrapper"]) for r in html.extract_main_text(rows, html.HtmlParams(lists=False)).collect()}
+        same = 0
+        for r in rows.collect():
+            reader = ArticleReader()
+            reader.feed(r["html"] or "")
+            reader.close()
+            want = "\n\n".join(t for t in (" ".join(b.split()) for b in reader.blocks) if t)
+            assert got[r["page_id"]][0] == want
+            same += alone[r["page_id"]] == (want, True)
+        assert same >= share * len(got)
+
+
+def test_wrapper_finds_an_article_without_names(spark):
+    """Elements with meaningless names: the region of the long texts is kept, links, short texts and teasers go."""
+    rng = random.Random(12)
+    words = lambda n: " ".join(f"w{rng.randrange(999)}" for _ in range(n))
+    rows, want = [], {}
+    for k in range(30):
+        texts = [words(rng.randrange(30, 60)) for _ in range(rng.randrange(1, 6))]
+        menu = "".join(f"<i><a href='/{j}'>{words(2)}</a></i>" for j in range(rng.randrange(2, 5)))
+        body = f"<div class=x1>{menu}</div><div class=x2>{words(3)}</div><div class=x3><div><h1>T{k}</h1></div><div>{''.join(f'<p>{t}</p>' for t in texts)}</div></div><div class=x4><p>{words(4)}</p></div>"
+        rows.append((k, f"http://h.com/{k}", f"<html><body>{body}</body></html>"))
+        want[k] = "\n\n".join([f"T{k}", *texts])
+    rows.append((99, "http://h.com/other", "<table><tr><td>Own structure</td></tr></table>"))
+    want[99] = "Own structure"
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    out = html.extract_main_text(df).collect()
+    assert {r["page_id"]: r["main_text"] for r in out} == want
+    assert sorted(r["page_id"] for r in out if not r["by_wrapper"]) == [99]
+
+
+def test_template_lines_are_counted_exactly_however_many(spark):
+    """Twelve lines that all pages share in one repeated group go; headings that all share, captions and ids stay."""
+    lines = "".join(f"<p>Shared line {j}</p>" for j in range(12))
+    rows = []
+    for k in range(20):
+        own = "".join(f"<p>Own {k} {j}</p>" for j in range(k % 4 + 1))
+        rows.append((k, f"http://h.com/{k}", f"<body><article><h1>T{k}</h1>{own}{lines}<h2 id='warning-signs'>Summary</h2><figure><figcaption>Caption {k}</figcaption></figure></article></body>"))
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    want = {k: "\n\n".join([f"T{k}", *(f"Own {k} {j}" for j in range(k % 4 + 1)), "Summary", f"Caption {k}"]) for k in range(20)}
+    for n in (1, 9):
+        assert {r["page_id"]: r["main_text"] for r in html.extract_main_text(df.repartition(n)).collect()} == want
+
+
+def test_equal_pages_keep_their_article(spark):
+    source = "<body><nav><a>x</a></nav><article><h1>Title</h1><p>One article</p></article></body>"
+    for n in (1, 7, 9, 30):
+        df = spark.createDataFrame([(k, f"http://h.com/{k}", source) for k in range(n)], "page_id bigint, url string, html string")
+        assert {r["main_text"] for r in html.extract_main_text(df).collect()} == {"Title\n\nOne article"}
+
+
+def test_long_streams_are_aligned_in_bounded_room():
+    a, b = tuple(f"k{i % 997}x{i}" for i in range(30_000)), tuple(f"k{i % 997}x{i}" for i in range(0, 30_000, 2))
+    found = html.common_subsequence(a, b, 1000)
+    assert found and all(a[i] == b[j] for i, j in found) and all(x < y for u, v in itertools.pairwise(found) for x, y in zip(u, v, strict=True))
+    assert html.common_subsequence("abcde", "xbyde", 100) == [(1, 1), (3, 3), (4, 4)]
+
+
 # Chat
 
 
