@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -44,9 +44,13 @@ class Profile:
     stages: tuple[Stage, ...] = STAGES
 
 
+#: Labels of match types that old tables may still hold, and the present types that took their place.
+LEGACY_TYPES = {"EXACT_FUZZY": "CANONICAL_EXACT", "ADDRESS_CLEAN_MATCH": "CANONICAL_EXACT", "SUBSET_MATCH": "TOKEN_COVERAGE"}
 INTENDED = Profile()
+#: The retired phrase stage with more room between words.
+WIDE = Profile("wide", slop=3)
 AS_WRITTEN = Profile("as_written", unicode_cleaner=False, token_coverage_wins=False)
-PROFILES = {p.name: p for p in (INTENDED, AS_WRITTEN)}
+PROFILES = {p.name: p for p in (INTENDED, AS_WRITTEN, WIDE)}
 
 
 @dataclass(frozen=True)
@@ -80,7 +84,3 @@ SCORES = {s.name: s.score for s in STAGES} | {"NEW_MASTER": 100.0, "DIRTY_DATA":
 class QaSettings:
     overlap_threshold: float = 0.3
     samples: int = 5
-    top: int = 30
-    min_fingerprint_token: int = 2
-    #: Members up to which the mean overlap of a master is taken over all pairs; beyond, exact token algebra is used.
-    members: int = field(default=200)

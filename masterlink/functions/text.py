@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented Latin letters and their base letters; Arabic letters and their normal forms; invisible characters;
-# labels and care-of phrases that the cleaner removes; what it keeps; markers that stand for no name.
-ACCENTED = "áàâäãåāăąéèêëēęěíìîïīıóòôöõőøúùûüūůűýÿñńňçćčşśšžźżğďťřł"
-PLAIN = "aaaaaaaaaeeeeeeeiiiiiiooooooouuuuuuuyynnncccssszzzgdtrl"
+def folded_letters(until: int = 0x2000) -> tuple[str, str]:
+    """Lower-case letters that decompose into a base letter and marks, and these base letters: Latin, Greek, Cyrillic."""
+    found = {}
+    for c in map(chr, range(0x80, until)):
+        base = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if c.isalpha() and c == c.lower() and len(base) == 1 and base != c and base.isalpha() and not "\u0600" <= c <= "\u06ff":
+            found[c] = base
+    return "".join(found), "".join(found.values())
+
+
+ACCENTED, PLAIN = folded_letters()
+# Letters with a stroke and the like, which do not decompose, and their base letters; Arabic letters and their
+# normal forms; invisible characters; labels and care-of phrases that the cleaner removes; what it keeps; markers that
+# stand for no name; letters that stand for a word each where the standard tokenizer cuts.
+STROKES, UNSTRUCK = "øłđħŧıƀɨŀ", "oldhtibil"
 ARABIC = "أإآىة"
 ARABIC_PLAIN = "ااايه"
 ZERO_WIDTH = "[\\u200b\\u200c\\u200d\\ufeff\\u00ad]"
@@ -16,7 +29,8 @@ LABEL = r"^(email|attn|tel|phone|web|site)\s*:"
 CARE_OF = (r"\bc/o\b", r"\battn\b", r"\bcare of\b", r"\bto\s+(the\s+)?order\s+of\b")
 KEEP = r"[^\p{L}\p{N}\p{M}_\s.\-]"
 KEEP_ASCII = r"[^\w\s.\-]"
-NA_MARKERS = ("n a", "na", "null", "none", "nan", "s n", "sn")
+NA_MARKERS = ("n a", "na", "null", "nil", "none", "nan", "s n", "sn")
+IDEOGRAPHS = r"\p{IsHan}\p{IsHiragana}"
 
 
 def words(text: Column) -> Column:
@@ -56,14 +70,15 @@ def glue_acronyms(text: Column) -> Column:
 
 def fold(text: Column) -> Column:
     """Lower case without accents; Arabic letters in their normal forms."""
-    t = F.translate(F.lower(text), ACCENTED + ARABIC, PLAIN + ARABIC_PLAIN)
+    t = F.translate(F.lower(text), ACCENTED + STROKES + ARABIC, PLAIN + UNSTRUCK + ARABIC_PLAIN)
     t = F.replace(F.replace(F.replace(t, F.lit("ß"), F.lit("ss")), F.lit("æ"), F.lit("ae")), F.lit("œ"), F.lit("oe"))
     return F.regexp_replace(t, r"[\p{M}ـ]", "")
 
 
 def tokenize(name: Column) -> Column:
-    """Folded words, with acronyms glued."""
-    return F.regexp_extract_all(F.regexp_replace(fold(glue_acronyms(name)), "[.,]+", " "), F.lit(r"([\p{L}\p{N}_]+(?:'\p{L}+)?)"), 1)
+    """Folded words, with acronyms glued; ideographs and hiragana are words one by one."""
+    word = rf"([{IDEOGRAPHS}]|[\p{{L}}\p{{N}}_&&[^{IDEOGRAPHS}]]+(?:'\p{{L}}+)?)"
+    return F.regexp_extract_all(F.regexp_replace(fold(glue_acronyms(name)), "[.,]+", " "), F.lit(word), 1)
 
 
 def canonicalise(tokens: Column, rewrites: Column, longest: int) -> Column:
@@ -188,6 +203,20 @@ def split_fused(tokens: Column, fused: dict[str, str]) -> Column:
     return F.flatten(F.transform(tokens, lambda t: F.split(F.coalesce(table[t], t), " ")))
 
 
+def mend_suffixes(tokens: Column, typos: dict[str, str]) -> Column:
+    """Misspelt legal forms by a map, then ones with a doubled letter (`lttd`) whose single form the map's targets name."""
+    if not typos:
+        return tokens
+    table = F.create_map(*(F.lit(x) for kv in typos.items() for x in kv))
+    known = F.array(*(F.lit(t) for t in sorted(set(typos.values()))))
+
+    def mend(t: Column) -> Column:
+        single = F.regexp_replace(t, r"(.)\1", "$1")
+        return F.coalesce(table[t], F.when(~F.array_contains(known, t) & F.array_contains(known, single), single), t)
+
+    return F.transform(tokens, mend)
+
+
 def drop_brackets(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(text, r"\([^)]*\)|\[[^\]]*\]", " "), r"\s+", " "))
 

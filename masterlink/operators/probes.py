@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from masterlink.config import INTENDED, Profile
+from masterlink.config import INTENDED, LEGACY_TYPES, Profile
 from masterlink.functions import text as T
 from masterlink.operators.analyse import analyse
 from masterlink.operators.retired import equal_key
@@ -63,16 +63,26 @@ def other_of_same_signature(rows: DataFrame, names: DataFrame) -> DataFrame:
     return more.join(second, ["country_code", "gap_signature"]).select("id", F.when(F.col("id") == F.col("first"), F.col("second")).otherwise(F.col("first")).alias("other_id"))
 
 
-def boosted_probe(rows: DataFrame, keys: list[Column], phone: str = "phone", boost: float = 5.0) -> DataFrame:
-    """(probe_id, master_id, score): earlier rows that share any of the keys, one point for each, more for the same phone."""
+def boosted_probe(rows: DataFrame, keys: list[Column], phone: str = "phone", boost: float = 5.0, tax: str | None = None, tax_boost: float = 10.0) -> DataFrame:
+    """(probe_id, master_id, score): earlier rows that share any of the keys, one point for each, more for the same phone
+    and, if the rows have a column for it, most for the same tax number (but for punctuation and case)."""
     hits = None
     for key in keys:
         found = equal_key(rows, key)
         hits = found if hits is None else hits.unionByName(found)
     scored = hits.groupBy("probe_id", "master_id").agg(F.count("*").cast("double").alias("points"))
-    a, b = rows.select(F.col("id").alias("probe_id"), F.col(phone).alias("x")), rows.select(F.col("id").alias("master_id"), F.col(phone).alias("y"))
+    number = F.nullif(T.tax_norm(F.col(tax)), F.lit("")) if tax else F.lit(None).cast("string")
+    a = rows.select(F.col("id").alias("probe_id"), F.col(phone).alias("x"), number.alias("u"))
+    b = rows.select(F.col("id").alias("master_id"), F.col(phone).alias("y"), number.alias("v"))
     scored = scored.join(a, "probe_id").join(b, "master_id")
-    return scored.select("probe_id", "master_id", (F.col("points") + F.when(F.col("x") == F.col("y"), boost).otherwise(0.0)).alias("score"))
+    same = lambda x, y, points: F.when(F.col(x) == F.col(y), points).otherwise(0.0)
+    return scored.select("probe_id", "master_id", (F.col("points") + same("x", "y", boost) + same("u", "v", tax_boost)).alias("score"))
+
+
+def present_types(match_type: Column) -> Column:
+    """Match types with labels of old tables named as today."""
+    labels = F.create_map(*(F.lit(x) for kv in LEGACY_TYPES.items() for x in kv))
+    return F.coalesce(labels[match_type], match_type)
 
 
 def post_verified(a: Column, b: Column, strict: bool, coverage: float = 0.9, ratio: float = 0.9, loose_ratio: float = 0.7) -> Column:

@@ -51,7 +51,9 @@ def decide(rows: DataFrame, profile: Profile = INTENDED) -> DataFrame:
     same = F.when(F.col("core"), earlier(lambda m: m["gap"] == F.col("gap_signature")))
     near = F.when(F.col("alpha_core"), earlier(lambda m: F.coalesce(T.slop_distance(m["gap"], F.col("gap_signature")) <= profile.slop, F.lit(False))))
     cover = F.when(F.col("lettered") & F.lit(profile.token_coverage_wins) & (F.col("first") < F.col("id")), F.col("first"))
-    on = {s.name: s.enabled for s in profile.stages}
+    # A stage wins with its score only if that reaches the stage's threshold.
+    on = {s.name: s.enabled and s.score >= s.min_score for s in profile.stages}
+    scores = SCORES | {s.name: s.score for s in profile.stages}
     ids = {"CANONICAL_EXACT": same, "PHRASE_SLOP": near, "TOKEN_COVERAGE": cover}
     ids = {k: F.when(F.col("reason").isNull() & F.lit(on.get(k, False)), v) for k, v in ids.items()}
     won = None
@@ -59,7 +61,7 @@ def decide(rows: DataFrame, profile: Profile = INTENDED) -> DataFrame:
         won = F.when(found.isNotNull(), name) if won is None else won.when(found.isNotNull(), name)
     kind = F.when(F.col("reason") == "empty", F.lit(None)).when(F.col("reason").isNotNull(), "EXCLUDED").otherwise(F.coalesce(won, F.when(F.col("dirty"), "DIRTY_DATA").otherwise("NEW_MASTER")))
     rows = rows.withColumn("match_type", kind)
-    score = F.create_map(*(F.lit(x) for kv in SCORES.items() for x in kv))[F.col("match_type")]
+    score = F.create_map(*(F.lit(x) for kv in scores.items() for x in kv))[F.col("match_type")]
     matched = F.col("match_type").isin(*ids)
     rows = rows.withColumn("master_id", F.when(F.col("match_type").isNull(), F.lit(None)).when(matched, F.coalesce(*ids.values())).otherwise(F.col("id")))
     details = (

@@ -1,14 +1,23 @@
-"""DuckDB SQL for the registered queries, written on its own: the resolver's rows come from a row-by-row simulation."""
+"""DuckDB SQL for the registered queries, written on its own: the resolver's rows come from a row-by-row simulation.
+
+Lists, folding, rules and word sets are stated or built here anew; only the SQL that makes the input rows is shared.
+"""
 
 from __future__ import annotations
 
 import json
+import re
 from importlib import resources
 
-from masterlink.config import SCORES
-from masterlink.functions.text import ACCENTED, ARABIC, ARABIC_PLAIN, NA_MARKERS, PLAIN, ZERO_WIDTH
 from masterlink.sources.firms import FIRMS_SQL, MENTIONS_SQL
-from masterlink.sources.rules import ALIASES, CANONICAL, SHARED, Vocabulary
+
+# What the simulation needs to know of the queries.
+SCORES = {"CANONICAL_EXACT": 100.0, "PHRASE_SLOP": 95.0, "TOKEN_COVERAGE": 90.0, "NEW_MASTER": 100.0, "DIRTY_DATA": 100.0, "EXCLUDED": 0.0}
+NA_MARKERS = ("na", "n a", "nan", "nil", "none", "null", "s n", "sn")
+ZERO_WIDTH = "[\u200b\u200c\u200d\ufeff\u00ad]"
+CANONICAL = ("business_sectors", "legal_suffixes")
+ALIASES = {"address_terms": "address_abbreviations", "company_types": "legal_suffixes"}
+SHARED = ("common", "countries")
 
 
 def packaged_rules() -> list[tuple[str, str, int, int, str, str | None]]:
@@ -36,7 +45,40 @@ def packaged_rules() -> list[tuple[str, str, int, int, str, str | None]]:
 
 
 RULES = packaged_rules()
-VOCABULARY = Vocabulary(sorted(((r[0], r[1], r[4], r[5]) for r in RULES), key=repr), sorted({r[0] for r in RULES}))
+COUNTRIES = sorted({r[0] for r in RULES})
+
+
+def pieces(phrase: str) -> list[str]:
+    return [w for w in re.split(r"[\s.,&]+", phrase) if w]
+
+
+def word_sets() -> dict[str, dict[str, list[str]]]:
+    """The sets of words by kind and country, and under `canon` the rewrites, from the claimed rules."""
+    kinds = ("articles", "placeholders", "legal", "address", "sector", "legal_tokens", "fragments", "geo", "generic")
+    sets: dict[str, dict[str, set[str]]] = {k: {c: set() for c in COUNTRIES} for k in kinds}
+    canon: dict[str, dict[str, str]] = {c: {} for c in COUNTRIES}
+    both = {"legal_suffixes": "legal_tokens", "business_sectors": "sector", "address_abbreviations": "address"}
+    for c, category, _, _, source, target in sorted(RULES, key=lambda r: repr((r[0], r[1], r[4], r[5]))):
+        ends = [source] + [target] * bool(target)
+        if category in both:
+            sets[both[category]][c] |= {w for w in ends if " " not in w}
+        if category == "articles" and " " not in source:
+            sets["articles"][c].add(source)
+        if category == "non_firm_placeholders":
+            sets["placeholders"][c].add(source)
+        if category == "legal_suffixes":
+            sets["legal"][c] |= {source} - {s for s in [source] if " " in s}
+            sets["fragments"][c] |= {w for e in ends for w in pieces(e) if w.isalpha() and len(w) < 5}
+        if category == "country_names" and (target or "").upper() == c and " " not in source and len(source) > 3:
+            sets["geo"][c].add(source)
+        if category in CANONICAL and target and (left := " ".join(pieces(source))) and left != (right := " ".join(pieces(target))):
+            canon[c].setdefault(left, right)
+    for c in COUNTRIES:
+        sets["generic"][c] = sets["legal_tokens"][c] | sets["sector"][c] | sets["articles"][c] | sets["geo"][c] | {w for t in canon[c].values() for w in t.split()}
+    return {k: {c: sorted(w) for c, w in v.items()} for k, v in sets.items()} | {"canon": canon}
+
+
+SETS = word_sets()
 
 
 def text(value: str | None) -> str:
@@ -53,7 +95,7 @@ def lists(table: dict[str, list[str]]) -> str:
 
 
 def fold(x: str) -> str:
-    inner = f"translate(lower({x}), '{ACCENTED}{ARABIC}', '{PLAIN}{ARABIC_PLAIN}')"
+    inner = f"translate(strip_accents(lower({x})), 'øłđħŧıأإآىة', 'oldhtiااايه')"
     return rf"regexp_replace(replace(replace(replace({inner}, 'ß', 'ss'), 'æ', 'ae'), 'œ', 'oe'), '[\p{{M}}ـ]', '', 'g')"
 
 
@@ -76,7 +118,7 @@ def no_repeats(t: str) -> str:
     return f"(SELECT array_to_string(list_filter(w, lambda t, i: i = 1 OR t <> w[i - 1]), ' ') FROM (SELECT list_filter(string_split({t}, ' '), lambda t: t <> '') AS w))"
 
 
-_CANON = VOCABULARY.canonical()
+_CANON = SETS["canon"]
 _LONGEST = max(len(s.split()) for m in _CANON.values() for s in m)
 _CANON_MAP = "MAP {" + ", ".join(f"{text(c + '|' + s)}: {text(t)}" for c, m in _CANON.items() for s, t in m.items()) + "}"
 
@@ -94,8 +136,8 @@ _CORE = "list_filter(regexp_split_to_array(lower({name}), '[^a-z0-9]+'), lambda
 #: The analysis of distinct names: firms, voc, nm (names) and an (all analysis columns).
 CHAIN = rf"""
 firms AS ({FIRMS_SQL}),
-voc AS (SELECT {_CANON_MAP} AS canon, {lists(VOCABULARY.sources("articles", "one"))} AS articles_, {lists(VOCABULARY.generic())} AS generic_, {lists(VOCABULARY.tokens("address_abbreviations"))} AS address_,
-  {lists(VOCABULARY.fragments())} AS fragments_, {lists(VOCABULARY.sources("non_firm_placeholders"))} AS placeholders_, {lists(VOCABULARY.sources("legal_suffixes", "one"))} AS legal_, {lists(VOCABULARY.geo())} AS geo_, {lists(VOCABULARY.tokens("legal_suffixes"))} AS legal_tokens_),
+voc AS (SELECT {_CANON_MAP} AS canon, {lists(SETS["articles"])} AS articles_, {lists(SETS["generic"])} AS generic_, {lists(SETS["address"])} AS address_,
+  {lists(SETS["fragments"])} AS fragments_, {lists(SETS["placeholders"])} AS placeholders_, {lists(SETS["legal"])} AS legal_, {lists(SETS["geo"])} AS geo_, {lists(SETS["legal_tokens"])} AS legal_tokens_),
 nm AS (SELECT name, country_code, min(id) AS first_id FROM firms GROUP BY ALL),
 a0 AS (SELECT *, {", ".join(f"coalesce({x}_[country_code], []) AS {x}" for x in ("articles", "generic", "address", "fragments", "placeholders", "legal", "geo", "legal_tokens"))},
   regexp_extract_all(regexp_replace({fold(glue("name"))}, '[.,]+', ' ', 'g'), '[\p{{L}}\p{{N}}_]+(?:''\p{{L}}+)?') AS raw FROM nm, voc),
@@ -109,14 +151,14 @@ an AS (SELECT *, len(tokens) AS token_count, array_to_string(list_sort(tokens),
   len(list_filter(tokens, lambda t: length(t) >= 2 AND regexp_matches(t, '\p{{L}}') AND {_HELD})) > 0 AS alpha_core,
   len(list_filter(tokens, lambda t: list_contains(address, t))) > 0 AND len(list_filter(tokens, lambda t: length(t) >= 2 AND regexp_matches(t, '\p{{L}}') AND NOT list_contains(address, t) AND {_HELD})) = 0 AS dirty,
   {_CORE.format(name="name", drop="fragments, legal")} AS core_words, {_CORE.format(name="name", drop="list_concat(fragments, legal), geo")} AS core_no_geo,
-  CASE WHEN trim(name) = '' THEN 'empty' WHEN NOT list_contains({[*VOCABULARY.countries]}, country_code) THEN 'invalid_country' WHEN {_NORM} = '' THEN 'no_alnum'
+  CASE WHEN trim(name) = '' THEN 'empty' WHEN NOT list_contains({[*COUNTRIES]}, country_code) THEN 'invalid_country' WHEN {_NORM} = '' THEN 'no_alnum'
     WHEN list_contains(placeholders, {_NORM}) THEN 'placeholder' WHEN {_NORM} IN {NA_MARKERS} THEN 'na_marker' END AS reason FROM a2)"""
 _SCORE = "CASE match_type " + " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in SCORES.items()) + " END"
 
 
-def resolved(cover: bool = True, rows: str = "firms") -> str:
+def resolved(cover: bool = True, rows: str = "firms", slop: int = 1) -> str:
     """CHAIN and res: every row's outcome, by taking the rows of each class one after another."""
-    slop = "len(a.tk) = len(r.tk) AND a.tk = r.tk AND list_max(list_transform(range(1, len(r.pos) + 1), lambda i: a.pos[i] - r.pos[i])) - list_min(list_transform(range(1, len(r.pos) + 1), lambda i: a.pos[i] - r.pos[i])) <= 1"
+    near = "len(a.tk) = len(r.tk) AND a.tk = r.tk AND list_max(list_transform(range(1, len(r.pos) + 1), lambda i: a.pos[i] - r.pos[i])) - list_min(list_transform(range(1, len(r.pos) + 1), lambda i: a.pos[i] - r.pos[i])) <= {slop}".replace("{slop}", str(slop))
     return f"""WITH RECURSIVE {CHAIN},
 ar AS (SELECT *, regexp_matches(fingerprint, '\\p{{L}}') AS lettered, list_filter(string_split(gap_signature, ' '), lambda t: t <> '_') AS tk,
   list_filter(list_transform(range(1, len(string_split(gap_signature, ' ')) + 1), lambda i: CASE WHEN string_split(gap_signature, ' ')[i] <> '_' THEN i END), lambda i: i IS NOT NULL) AS pos FROM an),
@@ -129,7 +171,7 @@ sim(country_code, class_key, rn, anchors, id, match_type, master_id) AS (
     CASE WHEN exact IS NOT NULL THEN 'CANONICAL_EXACT' WHEN near IS NOT NULL THEN 'PHRASE_SLOP' WHEN cover IS NOT NULL THEN 'TOKEN_COVERAGE' WHEN dirty THEN 'DIRTY_DATA' ELSE 'NEW_MASTER' END, coalesce(exact, near, cover, id)
   FROM (SELECT r.*, s.anchors,
       CASE WHEN r.core THEN list_min(list_transform(list_filter(s.anchors, lambda a: a.gap = r.gap), lambda a: a.id)) END AS exact,
-      CASE WHEN r.alpha_core THEN list_min(list_transform(list_filter(s.anchors, lambda a: {slop}), lambda a: a.id)) END AS near,
+      CASE WHEN r.alpha_core THEN list_min(list_transform(list_filter(s.anchors, lambda a: {near}), lambda a: a.id)) END AS near,
       {"CASE WHEN r.lettered THEN list_min(list_transform(s.anchors, lambda a: a.id)) END" if cover else "NULL::BIGINT"} AS cover
     FROM sim s JOIN cr r ON r.country_code = s.country_code AND r.class_key = s.class_key AND r.rn = s.rn + 1)),
 res AS (SELECT f.*, an.reason, an.core_words, an.fingerprint, CASE WHEN an.reason = 'empty' THEN NULL WHEN an.reason IS NOT NULL THEN 'EXCLUDED' ELSE sim.match_type END AS match_type,
@@ -185,7 +227,7 @@ _VARIANTS = f"""CASE WHEN master_country <> variant_country THEN 'WRONG' WHEN {_
 _SHARED, _DX, _DY = "len(list_intersect(list_distinct(x), list_distinct(y)))", "len(list_distinct(x))", "len(list_distinct(y))"
 _TRACE = "(VALUES ('CANONICAL_EXACT', 1), ('PHRASE_SLOP', 2), ('TOKEN_COVERAGE', 3)) s(stage_name, stage_order)"
 
-_TOKEN_SETS = {"generic": VOCABULARY.generic(), "legal": VOCABULARY.tokens("legal_suffixes"), "sector": VOCABULARY.tokens("business_sectors"), "address": VOCABULARY.tokens("address_abbreviations"), "article": VOCABULARY.sources("articles", "one"), "geo": VOCABULARY.geo()}
+_TOKEN_SETS = {"generic": SETS["generic"], "legal": SETS["legal_tokens"], "sector": SETS["sector"], "address": SETS["address"], "article": SETS["articles"], "geo": SETS["geo"]}
 
 
 def _collisions() -> list[tuple[str, str, str]]:
@@ -206,7 +248,7 @@ def _collisions() -> list[tuple[str, str, str]]:
 
 ORACLE_SQL: dict[str, str] = {
     "filter_classify_input": per_name("reason"),
-    "filter_invalid_country": f"WITH {CHAIN} SELECT country_code, count(*) AS n, list_contains({[*VOCABULARY.countries]}, country_code) AS indexable FROM firms GROUP BY country_code",
+    "filter_invalid_country": f"WITH {CHAIN} SELECT country_code, count(*) AS n, list_contains({[*COUNTRIES]}, country_code) AS indexable FROM firms GROUP BY country_code",
     "exclusion_report": f"WITH {CHAIN}, e AS (SELECT f.name, reason FROM firms f JOIN an USING (name, country_code) WHERE reason IS NOT NULL) SELECT reason, count(*) AS n, array_to_string(list_sort(list_distinct(list(name)))[1:8], '|') AS samples FROM e GROUP BY reason",
     "placeholder_semi_join": f"WITH {CHAIN} SELECT f.id, f.country_code, {_NORM.replace('name', 'f.name')} AS norm FROM firms f JOIN an ON f.name = an.name AND f.country_code = an.country_code WHERE list_contains(an.placeholders, {_NORM.replace('name', 'f.name')})",
     "generic_gate": per_name("core, alpha_core"),
@@ -214,7 +256,7 @@ ORACLE_SQL: dict[str, str] = {
     "address_dirty": per_name("dirty"),
     "country_filter": f"WITH firms AS ({FIRMS_SQL}) SELECT id, name FROM firms WHERE country_code = 'MX'",
     "light_clean": f"WITH firms AS ({FIRMS_SQL}), n AS (SELECT DISTINCT name FROM firms) SELECT name, {light_clean('name')} AS cleaned FROM n",
-    "light_clean_documents": f"WITH n AS (SELECT doc_id, string_split(text, chr(10))[1] AS line FROM documents) SELECT doc_id, {light_clean('line', r'[^\w\s.\-]')} AS cleaned FROM n",
+    "light_clean_documents": f"SELECT doc_id, {light_clean('text', r'[^\w\s.\-]')} AS cleaned FROM documents",
     "consecutive_dedup": f"WITH firms AS ({FIRMS_SQL}), n AS (SELECT DISTINCT name FROM firms) SELECT name, {no_repeats('lower(name)')} AS deduped FROM n",
     "acronym_glue": f"WITH firms AS ({FIRMS_SQL}), n AS (SELECT DISTINCT name FROM firms) SELECT name, {glue('name')} AS glued FROM n",
     "tokenize_explode": f"WITH {CHAIN} SELECT name, country_code, CAST(i - 1 AS INT) AS pos, raw[i] AS token FROM an, range(1, len(raw) + 1) AS r(i)",
@@ -288,3 +330,17 @@ p AS (SELECT n.country_code, n.name AS probe, m.master FROM n JOIN m ON n.countr
 SELECT p.country_code, probe, master, a.class_key = b.class_key AND a.core AND a.gap_signature = b.gap_signature AS canonical_exact, a.class_key = b.class_key AND a.alpha_core AND coalesce({_PAIR_SLOP}, false) AS phrase_slop, a.class_key = b.class_key AND a.lettered AS token_coverage
 FROM p JOIN ar a ON a.country_code = p.country_code AND a.name = probe JOIN ar b ON b.country_code = p.country_code AND b.name = master""",
 }
+#: The firms as a table with other column names, of which every third row has a master already.
+_TABLE = f"firms AS ({FIRMS_SQL}), tb AS (SELECT id AS row_no, name AS title, country_code AS cc, CASE WHEN id % 3 = 0 THEN 'old' END AS master_code FROM firms)"
+ORACLE_SQL |= {
+    "stage_phrase_slop_wide": f"{resolved(slop=3)} SELECT id, master_id FROM res WHERE match_type = 'PHRASE_SLOP'",
+    "unprocessed_rows": f"WITH {_TABLE} SELECT row_no AS id, title AS name, cc AS country_code FROM tb WHERE master_code IS NULL AND cc = 'MX'",
+    "bulk_update": f"{resolved()} SELECT id AS row_no, name AS title, country_code AS cc, coalesce(CAST(master_id AS VARCHAR), CASE WHEN id % 3 = 0 THEN 'old' END) AS master_code, {_SCORE} AS match_score, match_type FROM res",
+    "reset_results": f"WITH {_TABLE} SELECT row_no, cc, CASE WHEN cc = 'MX' THEN NULL ELSE master_code END AS master_code FROM tb",
+    "boosted_tax_probe": ORACLE_SQL["boosted_probe"].replace("f.id, f.country_code, f.phone,", "f.id, f.country_code, f.phone, upper(regexp_replace(concat('t-', f.phone, substr(f.name, 1, 1)), '[^\\w]', '', 'g')) AS tax,").replace("ELSE 0.0 END AS score", "ELSE 0.0 END + CASE WHEN x.tax = y.tax THEN 10.0 ELSE 0.0 END AS score"),
+    "retired_scalars": rf"""WITH firms AS ({FIRMS_SQL}), n AS (SELECT DISTINCT name, concat(name, ' SUITE 5') AS x FROM firms)
+SELECT name, regexp_replace(regexp_replace(lower(name), '\bl t d\b', 'ltd', 'g'), '\bi n c\b', 'inc', 'g') AS spelled,
+  trim(regexp_replace(regexp_replace(concat(name, ' (old) [x]'), '\([^)]*\)|\[[^\]]*\]', ' ', 'g'), '\s+', ' ', 'g')) AS unbracketed,
+  CASE WHEN regexp_extract(x, '(?i)^(.*\b(?:limited|ltd)\b)', 1) <> '' THEN regexp_extract(x, '(?i)^(.*\b(?:limited|ltd)\b)', 1) ELSE x END AS anchored,
+  concat('pvt|ltd|', replace(lower(name), ' ', '|')) AS unfused FROM n""",
+}

@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masterlink.config import AS_WRITTEN, INTENDED, Profile
+from masterlink.config import AS_WRITTEN, INTENDED, WIDE, ColumnMapping, Profile
 from masterlink.functions import text as T
 from masterlink.operators import analyse as A
 from masterlink.operators import dedup, probes, qa, resolve, retired
 from masterlink.operators.graph import connected_components
 from masterlink.plans.durable import durable
-from masterlink.sources.firms import firms, mentions
+from masterlink.sources import firms as firm_tables
+from masterlink.sources.firms import firms, mentions, read_firms, update_firms
 from masterlink.sources.rules import Vocabulary, by_country, claimed_rules, parse_rules, rule_collisions, rule_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +107,31 @@ def country_filter(spark, sf_dir):
     return firms(spark, sf_dir).filter(F.col("country_code") == "MX").select("id", "name")
 
 
+def _table(spark, sf_dir):
+    """The firms as a table with other column names, of which every third row has a master already."""
+    rows = firms(spark, sf_dir)
+    return rows.select(F.col("id").alias("row_no"), F.col("name").alias("title"), F.col("country_code").alias("cc"), F.when(F.col("id") % 3 == 0, "old").alias("master_code"))
+
+
+TABLE_MAPPING = ColumnMapping(id="row_no", company_name="title", country_code="cc")
+
+
+@query
+def unprocessed_rows(spark, sf_dir):
+    return read_firms(_table(spark, sf_dir), TABLE_MAPPING, country="MX").select("id", "name", "country_code")
+
+
+@query
+def bulk_update(spark, sf_dir):
+    found = resolved(spark, sf_dir).withColumnRenamed("master_id", "master_code")
+    return update_firms(_table(spark, sf_dir), found, TABLE_MAPPING).select("row_no", "title", "cc", "master_code", "match_score", "match_type")
+
+
+@query
+def reset_results(spark, sf_dir):
+    return firm_tables.reset_results(_table(spark, sf_dir), TABLE_MAPPING, ["MX"]).select("row_no", "cc", "master_code")
+
+
 # Text functions
 
 
@@ -240,6 +266,11 @@ def stage_phrase_slop(spark, sf_dir):
     return resolved(spark, sf_dir).filter("match_type = 'PHRASE_SLOP'").select("id", "master_id")
 
 
+@query
+def stage_phrase_slop_wide(spark, sf_dir):
+    return resolved(spark, sf_dir, WIDE).filter("match_type = 'PHRASE_SLOP'").select("id", "master_id")
+
+
 @query
 def stage_token_coverage(spark, sf_dir):
     return resolved(spark, sf_dir).filter("match_type = 'TOKEN_COVERAGE'").select("id", "master_id")
@@ -394,6 +425,13 @@ def boosted_probe(spark, sf_dir):
     return probes.boosted_probe(rows, [F.col("canonical_full"), F.col("fingerprint")])
 
 
+@query
+def boosted_tax_probe(spark, sf_dir):
+    rows = firms(spark, sf_dir).join(names(spark, sf_dir).filter("reason IS NULL").select("name", "country_code", "canonical_full", "fingerprint"), ["name", "country_code"])
+    rows = rows.withColumn("tax_number", F.concat(F.lit("t-"), F.col("phone"), F.substring("name", 1, 1)))
+    return probes.boosted_probe(rows, [F.col("canonical_full"), F.col("fingerprint")], tax="tax_number")
+
+
 @query
 def count_remaining(spark, sf_dir):
     rows = resolved(spark, sf_dir)
@@ -409,12 +447,12 @@ def _variations(spark, sf_dir, rows=None):
 
 @query
 def dup_groups(spark, sf_dir):
-    return dedup.duplicate_groups(_variations(spark, sf_dir)).withColumn("master_ids", F.array_join("master_ids", ","))
+    return dedup.duplicate_groups(_variations(spark, sf_dir), cap=200).withColumn("master_ids", F.array_join("master_ids", ","))
 
 
 @query
 def merge_plan(spark, sf_dir):
-    plan = dedup.merge_plan(dedup.duplicate_groups(_variations(spark, sf_dir), cap=1 << 30))
+    plan = dedup.merge_plan(dedup.duplicate_groups(_variations(spark, sf_dir)))
     return plan.withColumn("secondaries", F.array_join("secondaries", ","))
 
 

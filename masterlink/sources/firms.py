@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ast
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +79,29 @@ def derive_mapping(columns: list[str]) -> ColumnMapping:
     return ColumnMapping(**found)
 
 
+def rewrite_mapping(source: str, mapping: ColumnMapping, name: str = "COLUMN_MAPPING") -> str:
+    """A config file's text with its assignment of a mapping (a dictionary) replaced; added at the end if there is none.
+
+    All else stays as it is. The block ends with the brace that closes it; braces in strings and comments don't count.
+    """
+    block = f"{name} = {{\n" + "".join(f"    {k!r}: {v!r},\n" for k, v in mapping.physical().items()) + "}\n"
+    lines = source.splitlines(keepends=True)
+    tree = ast.parse(source)
+    for node in tree.body:
+        targets = node.targets if isinstance(node, ast.Assign) else [node.target] if isinstance(node, ast.AnnAssign) else []
+        if any(isinstance(t, ast.Name) and t.id == name for t in targets):
+            return "".join([*lines[: node.lineno - 1], block, *lines[node.end_lineno :]])
+    return source + ("" if source.endswith("\n") or not source else "\n") + block
+
+
+def reset_results(table: DataFrame, mapping: ColumnMapping, countries: list[str] | None = None) -> DataFrame:
+    """The table with its result columns null again, in the given countries or all."""
+    names = mapping.physical()
+    hit = F.col(f"`{names['country_code']}`").isin(countries) if countries else F.lit(True)
+    table = validate_schema(table, mapping)
+    return table.withColumns({names[k]: F.when(hit, F.lit(None)).otherwise(F.col(f"`{names[k]}`")).cast(table.schema[names[k]].dataType) for k in RESULTS if k in names})
+
+
 def update_firms(table: DataFrame, results: DataFrame, mapping: ColumnMapping) -> DataFrame:
     """The table with the results' columns filled in by id; other rows keep what they have."""
     names = mapping.physical()

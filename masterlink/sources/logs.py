@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
+
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
@@ -33,14 +36,45 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> Data
     return spark.read.schema(schema).json(path)
 
 
-def write_store(rows: DataFrame, path: str, countries: list[str] | None = None) -> None:
-    """Master tables by country; with countries, only their folders are replaced."""
-    if countries:
-        rows = rows.filter(F.col("country_code").isin(countries))
-    writer = rows.write.mode("overwrite").partitionBy("country_code")
-    (writer.option("partitionOverwriteMode", "dynamic") if countries else writer).parquet(path)
-
-
-def glue_works(spark: SparkSession) -> bool:
-    """Self-test before a run: `K.W.M` is one token."""
-    return spark.createDataFrame([("K.W.M",)], "n string").select(tokenize(F.col("n")).alias("t")).head()["t"] == ["kwm"]
+def write_store(rows: DataFrame, path: str, countries: list[str] | None = None, known: list[str] | None = None, force: bool = False) -> list[str]:
+    """Master tables by country. With countries, only their folders are replaced; without force, only ones that lack a folder.
+
+    Returns the codes that were left out: those that are not among the known ones (which are warned of), and those that
+    are there already.
+    """
+    if not countries:
+        rows.write.mode("overwrite").partitionBy("country_code").parquet(path)
+        return []
+    countries = sorted({c.strip().upper() for c in countries})
+    unknown = [c for c in countries if known is not None and c not in known]
+    if unknown:
+        warnings.warn(f"unknown countries are left out: {', '.join(unknown)}", stacklevel=2)
+    there = [] if force else stored_countries(rows.sparkSession, path)
+    wanted = [c for c in countries if c not in unknown and c not in there]
+    if wanted:
+        rows.filter(F.col("country_code").isin(wanted)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("country_code").parquet(path)
+    return [c for c in countries if c not in wanted]
+
+
+def stored_countries(spark: SparkSession, path: str) -> list[str]:
+    try:
+        return [r["country_code"] for r in spark.read.parquet(path).select("country_code").distinct().collect()]  # a row per country
+    except AnalysisException:
+        return []
+
+
+def glue_works(spark: SparkSession, name: str = "K.W.M", token: str = "kwm") -> bool | None:
+    """Self-test before a run: `K.W.M` is one token. None if it can't be told, as where the test itself fails."""
+    try:
+        return spark.createDataFrame([(name,)], "n string").select(tokenize(F.col("n")).alias("t")).head()["t"] == [token]
+    except PySparkException:
+        return None
+
+
+def check_glue(spark: SparkSession) -> None:
+    """Stops a run whose names would be read in another way than the stored ones; an unknown outcome is only warned of."""
+    works = glue_works(spark)
+    if works is None:
+        warnings.warn("the reading of acronyms could not be tested", stacklevel=2)
+    elif not works:
+        raise RuntimeError("acronyms are not read as one word; the stored names were")
