@@ -134,11 +134,16 @@ def input_norm(name: Column) -> Column:
     return F.trim(F.regexp_replace(fold(name), r"[^\p{L}\p{N}]+", " "))
 
 
+def blank(name: Column) -> Column:
+    """Null or white space of any kind."""
+    return name.isNull() | name.rlike(r"(?U)^\s*$")
+
+
 def classify_input(name: Column, placeholders: Column) -> Column:
     """Why a name names no firm: empty, no_alnum, placeholder, na_marker; null if it may."""
     n = input_norm(name)
     return (
-        F.when(name.isNull() | (F.trim(name) == ""), "empty")
+        F.when(blank(name), "empty")
         .when(n == "", "no_alnum")
         .when(F.array_contains(placeholders, n), "placeholder")
         .when(n.isin(*NA_MARKERS), "na_marker")

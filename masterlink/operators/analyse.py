@@ -30,7 +30,7 @@ def indexable(country: Column, countries: list[str]) -> Column:
 def exclusion_reason(name: Column, country: Column, vocabulary: Vocabulary) -> Column:
     """invalid_country or what classify_input says; null for rows that take part. Blank names are `empty`."""
     placeholders = by_country({c: [" ".join(s.split()) for s in v] for c, v in vocabulary.sources("non_firm_placeholders").items()}, country)
-    return F.when(F.coalesce(F.trim(name), F.lit("")) == "", "empty").when(~indexable(country, vocabulary.countries), "invalid_country").otherwise(T.classify_input(name, placeholders))
+    return F.when(T.blank(name), "empty").when(~indexable(country, vocabulary.countries), "invalid_country").otherwise(T.classify_input(name, placeholders))
 
 
 def with_tokens(names: DataFrame, vocabulary: Vocabulary) -> DataFrame:

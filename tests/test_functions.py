@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from masterlink.functions import phonetic as P
 from masterlink.functions import unicode as U
 
-BRANDS = "innovair inovar infiera anver univar univer unifrio infor anfora santander halliburton siemens flextronics vibracoustic".split()
+BRANDS = "velanto korvanis plumera ostrix dantelle morvique sabreno tilvana quorine brastel lumexa harvoni".split()
 
 
 @pytest.mark.parametrize(("word", "code"), [("infra", "ANFR"), ("univar", "ANFR"), ("smith", "SM0"), ("schmidt", "XMT"), ("knight", "NT"), ("thumb", "0M"), ("phone", "FN"), ("michael", "MKL"), ("school", "SKL"), ("laugh", "LF"), ("through", "0R"), ("", ""), ("ñ", "")])
