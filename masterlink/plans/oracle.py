@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import re
 from importlib import resources
+from types import SimpleNamespace
 
 from masterlink.sources.firms import FIRMS_SQL, MENTIONS_SQL
 
@@ -46,6 +47,7 @@ def packaged_rules() -> list[tuple[str, str, int, int, str, str | None]]:
 
 RULES = packaged_rules()
 COUNTRIES = sorted({r[0] for r in RULES})
+VOCABULARY = SimpleNamespace(rows=sorted(((r[0], r[1], r[4], r[5]) for r in RULES), key=repr), countries=COUNTRIES)
 
 
 def pieces(phrase: str) -> list[str]:

@@ -36,8 +36,8 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> Data
     return spark.read.schema(schema).json(path)
 
 
-def write_store(rows: DataFrame, path: str, countries: list[str] | None = None, known: list[str] | None = None, force: bool = False) -> list[str]:
-    """Master tables by country. With countries, only their folders are replaced; without force, only ones that lack a folder.
+def write_store(rows: DataFrame, path: str, countries: list[str] | None = None, known: list[str] | None = None, force: bool = True) -> list[str]:
+    """Master tables by country. With countries, only their folders are replaced; without force, only ones that are missing are written.
 
     Returns the codes that were left out: those that are not among the known ones (which are warned of), and those that
     are there already.
