@@ -84,3 +84,5 @@ SCORES = {s.name: s.score for s in STAGES} | {"NEW_MASTER": 100.0, "DIRTY_DATA":
 class QaSettings:
     overlap_threshold: float = 0.3
     samples: int = 5
+    #: Distinct cores of a master that one task compares with all of them.
+    piece: int = 1000

@@ -26,15 +26,17 @@ def over_merge(rows: DataFrame, vocabulary: Vocabulary, settings: QaSettings = Q
     """Masters whose members' names overlap little: (master_code, member_count, mean_overlap, dominant_match_type, sample_names).
 
     The mean is over all pairs of members. Members with the same core are counted together, so that pairs are made of
-    distinct cores only; copies of a name, however many, make none.
+    distinct cores only; copies of a name, however many, make none. A master of many cores is cut into pieces, each of
+    which meets all its cores in a task of its own.
     """
     cored = rows.withColumn("core", F.array_sort(F.array_distinct(core_of(F.col("name"), F.col("country"), vocabulary))))
     cores = cored.groupBy("master_code", "core").agg(F.count("*").alias("n"))
     members = cores.groupBy("master_code").agg(F.sum("n").alias("member_count"), F.sum(F.when(F.size("core") > 0, F.col("n") * (F.col("n") - 1) / 2).otherwise(0.0)).alias("same"), F.count("*").alias("cores"))
-    several = members.filter((F.col("member_count") > 1) & (F.col("cores") > 1)).select("master_code")
-    cores = cores.join(several, "master_code", "left_semi")
-    a, b = cores.select("master_code", F.col("core").alias("x"), F.col("n").alias("m")), cores.select("master_code", F.col("core").alias("y"), "n")
-    pairs = a.join(b, "master_code").filter("x < y")
+    several = members.filter((F.col("member_count") > 1) & (F.col("cores") > 1)).select("master_code", F.ceil(F.col("cores") / settings.piece).cast("int").alias("pieces"))
+    cores = cores.join(several, "master_code")
+    a = cores.select("master_code", F.pmod(F.xxhash64("core"), F.col("pieces")).cast("int").alias("piece"), F.col("core").alias("x"), F.col("n").alias("m"))
+    b = cores.select("master_code", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.col("core").alias("y"), "n")
+    pairs = a.join(b, ["master_code", "piece"]).filter("x < y")
     across = pairs.groupBy("master_code").agg(F.sum(T.token_overlap(F.col("x"), F.col("y")) * F.col("m") * F.col("n")).alias("across"))
     scored = members.filter("member_count > 1").join(across, "master_code", "left")
     mean = (F.col("same") + F.coalesce("across", F.lit(0.0))) / (F.col("member_count") * (F.col("member_count") - 1) / 2)

@@ -17,7 +17,6 @@ Rows join their name's outcome and compare their id with the few masters of the
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from masterlink.config import INTENDED, SCORES, Profile
@@ -30,19 +29,21 @@ MASTERS = "array<struct<id:bigint,gap:string>>"
 
 def class_masters(names: DataFrame, profile: Profile = INTENDED) -> DataFrame:
     """Adds first (the class's first id) and masters (its masters by id) to analysed distinct names with first_id."""
-    klass = W.partitionBy("country_code", "class_key")
     covered = F.col("lettered") & F.lit(profile.token_coverage_wins)
-    names = names.withColumn("first", F.min("first_id").over(klass))
-    names = names.withColumn("first_gap", F.min_by("gap_signature", "first_id").over(klass))
-    starts = F.when(~covered & F.col("core") & (F.col("gap_signature") != F.col("first_gap")), F.struct(F.col("first_id").alias("id"), F.col("gap_signature").alias("gap")))
-    names = names.withColumn("starts", F.array_sort(F.collect_set(starts).over(klass)))
+    keys = (F.col("country_code").alias("__cc"), F.col("class_key").alias("__key"))
+    same = F.col("country_code").eqNullSafe(F.col("__cc")) & F.col("class_key").eqNullSafe(F.col("__key"))
+    # Starts are gathered once for each class, not for each of its names; a class has one core gate.
+    candidate = F.when(~covered & F.col("core"), F.struct(F.col("first_id").alias("id"), F.col("gap_signature").alias("gap")))
+    classes = names.groupBy(*keys).agg(F.min("first_id").alias("first"), F.min_by("gap_signature", "first_id").alias("first_gap"), F.collect_set(candidate).alias("starts"), F.first("alpha_core").alias("alpha_core"))
+    classes = classes.withColumn("starts", F.array_sort(F.filter("starts", lambda s: s["gap"] != F.col("first_gap"))))
 
     def accept(masters: Column, c: Column) -> Column:
         known = F.exists(masters, lambda m: (m["gap"] == c["gap"]) | (F.col("alpha_core") & F.coalesce(T.slop_distance(m["gap"], c["gap"]) <= profile.slop, F.lit(False))))
         return F.when(known, masters).otherwise(F.concat(masters, F.array(c)))
 
     first = F.array(F.struct(F.col("first").alias("id"), F.col("first_gap").alias("gap"))).cast(MASTERS)
-    return names.withColumn("masters", F.aggregate("starts", first, accept)).drop("starts", "first_gap")
+    classes = classes.select("__cc", "__key", "first", F.aggregate("starts", first, accept).alias("masters"))
+    return names.join(classes, same).drop("__cc", "__key")
 
 
 def decide(rows: DataFrame, profile: Profile = INTENDED) -> DataFrame:

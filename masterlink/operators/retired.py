@@ -90,11 +90,14 @@ def ngram_match(names: DataFrame, share: float = 0.5) -> DataFrame:
 def suffix_fuzzy(names: DataFrame) -> DataFrame:
     """(probe_id, master_id): same core, and the rest of the words equal but for few edits: none up to three letters, one
     up to six, two beyond. Names carry core_key and suffix (both strings)."""
-    a = names.select(F.col("first_id").alias("probe_id"), "country_code", "core_key", F.col("suffix").alias("x")).filter("core_key <> '' AND x <> ''")
-    b = a.select(F.col("probe_id").alias("master_id"), "country_code", "core_key", F.col("x").alias("y"))
+    rows = names.select("first_id", "country_code", "core_key", "suffix").filter("core_key <> '' AND suffix <> ''")
+    # Suffixes are made of legal words: a core has few different ones, however many names have them.
+    kinds = rows.groupBy("country_code", "core_key", "suffix").agg(F.min("first_id").alias("least"))
+    a, b = kinds.select("country_code", "core_key", F.col("suffix").alias("x")), kinds.select("country_code", "core_key", F.col("suffix").alias("y"), "least")
     room = F.when(F.length("x") <= 3, 0).when(F.length("x") <= 6, 1).otherwise(2)
-    pairs = a.join(b, ["country_code", "core_key"]).filter("master_id < probe_id").filter(F.levenshtein("x", "y") <= room)
-    return pairs.groupBy("probe_id").agg(F.min("master_id").alias("master_id"))
+    near = a.join(b, ["country_code", "core_key"]).filter(F.levenshtein("x", "y") <= room)
+    best = near.groupBy("country_code", "core_key", F.col("x").alias("suffix")).agg(F.min("least").alias("master_id"))
+    return rows.join(best, ["country_code", "core_key", "suffix"]).filter("master_id < first_id").select(F.col("first_id").alias("probe_id"), "master_id")
 
 
 def symmetric_coverage(a: Column, b: Column) -> Column:

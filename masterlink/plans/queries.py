@@ -39,13 +39,13 @@ def names(spark: SparkSession, sf_dir: str, profile: Profile = INTENDED) -> Data
     return resolve.analysed_names(firms(spark, sf_dir), vocabulary(spark), profile)
 
 
-def resolved(spark: SparkSession, sf_dir: str, profile: Profile = INTENDED) -> DataFrame:
-    return resolve.resolve_batch(firms(spark, sf_dir), vocabulary(spark), profile)
+def resolved(spark: SparkSession, sf_dir: str, profile: Profile = INTENDED, analysed: DataFrame | None = None) -> DataFrame:
+    return resolve.resolve_batch(firms(spark, sf_dir), vocabulary(spark), profile, analysed)
 
 
-def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored(spark: SparkSession, sf_dir: str, analysed: DataFrame | None = None) -> DataFrame:
     """The resolved rows as a written table, for queries that read them several times."""
-    return durable(resolved(spark, sf_dir))
+    return durable(resolved(spark, sf_dir, analysed=analysed))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -441,39 +441,42 @@ def count_remaining(spark, sf_dir):
 # Duplicates
 
 
-def _variations(spark, sf_dir, rows=None):
-    return durable(dedup.master_fingerprints(resolved(spark, sf_dir) if rows is None else rows, names(spark, sf_dir)))
+def _variations(spark, sf_dir):
+    """The resolved rows and their masters' fingerprints, from names that are analysed once."""
+    analysed = durable(names(spark, sf_dir))
+    rows = stored(spark, sf_dir, analysed)
+    return rows, durable(dedup.master_fingerprints(rows, analysed))
 
 
 @query
 def dup_groups(spark, sf_dir):
-    return dedup.duplicate_groups(_variations(spark, sf_dir), cap=200).withColumn("master_ids", F.array_join("master_ids", ","))
+    return dedup.duplicate_groups(_variations(spark, sf_dir)[1], cap=200).withColumn("master_ids", F.array_join("master_ids", ","))
 
 
 @query
 def merge_plan(spark, sf_dir):
-    plan = dedup.merge_plan(dedup.duplicate_groups(_variations(spark, sf_dir)))
+    plan = dedup.merge_plan(dedup.duplicate_groups(_variations(spark, sf_dir)[1]))
     return plan.withColumn("secondaries", F.array_join("secondaries", ","))
 
 
 @query
 def repoint(spark, sf_dir):
-    rows = stored(spark, sf_dir)
-    plan = dedup.merge_map(_variations(spark, sf_dir, rows))
+    rows, variations = _variations(spark, sf_dir)
+    plan = dedup.merge_map(variations)
     return dedup.repoint(rows, plan).select("id", "match_type", "master_id")
 
 
 @query
 def merge_variations(spark, sf_dir):
-    rows = stored(spark, sf_dir)
-    plan = dedup.merge_map(_variations(spark, sf_dir, rows))
+    rows, variations = _variations(spark, sf_dir)
+    plan = dedup.merge_map(variations)
     docs = dedup.merge_documents(durable(resolve.master_documents(rows)), plan)
     return docs.select("master_id", "country_code", F.size("variations").cast("long").alias("variations"), F.size("phone_number").cast("long").alias("phones"))
 
 
 @query
 def potential_duplicates(spark, sf_dir):
-    out = dedup.potential_duplicates(_variations(spark, sf_dir))
+    out = dedup.potential_duplicates(_variations(spark, sf_dir)[1])
     return out.withColumns({"master_ids": F.array_join("master_ids", ","), "sample_names": F.array_join("sample_names", "|")})
 
 
