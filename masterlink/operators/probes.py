@@ -9,6 +9,7 @@ from masterlink.config import INTENDED, LEGACY_TYPES, Profile
 from masterlink.functions import text as T
 from masterlink.operators.analyse import analyse
 from masterlink.operators.retired import equal_key
+from masterlink.plans.durable import durable
 from masterlink.sources.rules import Vocabulary
 
 KEYS = ("class_key", "gap_signature", "core", "alpha_core", "lettered")
@@ -55,7 +56,7 @@ def exact_name_masters(rows: DataFrame) -> DataFrame:
 
 def other_of_same_signature(rows: DataFrame, names: DataFrame) -> DataFrame:
     """(id, other_id): for each row the smallest other id of its country with the same hole signature and a core."""
-    keyed = rows.join(names.filter("core AND reason IS NULL").select("name", "country_code", "gap_signature"), ["name", "country_code"])
+    keyed = durable(rows.join(names.filter("core AND reason IS NULL").select("name", "country_code", "gap_signature"), ["name", "country_code"]).select("id", "country_code", "gap_signature"))
     two = keyed.groupBy("country_code", "gap_signature").agg(F.min_by("id", "id").alias("first"), F.count("*").alias("n"))
     first = two.filter("n > 1").drop("n")
     more = keyed.join(first, ["country_code", "gap_signature"])
@@ -66,7 +67,7 @@ def other_of_same_signature(rows: DataFrame, names: DataFrame) -> DataFrame:
 def boosted_probe(rows: DataFrame, keys: list[Column], phone: str = "phone", boost: float = 5.0, tax: str | None = None, tax_boost: float = 10.0) -> DataFrame:
     """(probe_id, master_id, score): earlier rows that share any of the keys, one point for each, more for the same phone
     and, if the rows have a column for it, most for the same tax number (but for punctuation and case)."""
-    hits = None
+    rows, hits = durable(rows), None
     for key in keys:
         found = equal_key(rows, key)
         hits = found if hits is None else hits.unionByName(found)

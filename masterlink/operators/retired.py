@@ -49,6 +49,7 @@ def token_subset(names: DataFrame) -> DataFrame:
 
     A probe meets masters only under its rarest token, so frequent tokens make no candidates for names that have others.
     """
+    names = durable(names.select("first_id", "country_code", "tokens"))
     words = names.select("first_id", "country_code", F.explode(F.array_distinct("tokens")).alias("token"))
     counts = words.groupBy("country_code", "token").agg(F.count("*").alias("n"))
     rarest = words.join(counts, ["country_code", "token"]).groupBy("first_id", "country_code").agg(F.min_by("token", F.struct("n", "token")).alias("token"))
