@@ -6,6 +6,7 @@ every word by a subtraction, so no Python code runs per character or per word.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +55,15 @@ def sized_side(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df.hint("shuffle_hash")
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of steps that are done, instead of when the driver's memory happens to fill.
+
+    Files go once the driver has no reference to their plans; a large shuffle would else stay beside the next ones.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def hash_fraction(col: Column, seed: int) -> Column:
     """A number from 0 to 1 fixed by the value and the seed; null counts as a value."""
     return (F.xxhash64(F.lit(seed), col).bitwiseAND(F.lit((1 << 53) - 1))) / F.lit(float(1 << 53))

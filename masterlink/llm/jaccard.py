@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from masterlink.llm.common import U64, Words, buffer_of, durable, mix, shingle_sets, slices, small_batches, string_array
+from masterlink.llm.common import U64, Words, buffer_of, durable, mix, release_shuffles, shingle_sets, slices, small_batches, string_array
 from masterlink.operators.graph import connected_components
 
 BITS = 512
@@ -45,7 +45,7 @@ class JaccardParams:
     num: int = 75
     den: int = 100
     #: Shingles that one task compares in step 2, on average.
-    range_shingles: int = 1_500_000
+    range_shingles: int = 2_000_000
     #: Bytes of text in a slice, and classes of a slice from which a shingle is counted there instead of listed.
     slice_bytes: int = 8 << 20
     common: int = 32
@@ -416,8 +416,8 @@ def class_links(rows: DataFrame, params: JaccardParams) -> DataFrame:
     grow = min(params.most_growth, max(1.0, size / params.growth_bytes))
     params = replace(params, slice_bytes=int(params.slice_bytes * grow), range_shingles=int(params.range_shingles * grow))
     ranges = max(1, round(size / 6.2 / params.range_shingles))
-    shared = shared_shingles(pack_shingles(rows, ranges, params), ranges)
-    kept = durable(kept_classes(shared, ranges, params))
+    kept = durable(kept_classes(shared_shingles(pack_shingles(rows, ranges, params), ranges), ranges, params))
+    release_shuffles(rows.sparkSession)
     links = durable(leading_tiles(kept, params))
     groups = connected_components(links).withColumnRenamed("node", "cls")
     label = kept.select("cls", "size", "prefix").join(groups, "cls", "left")
@@ -428,6 +428,7 @@ def class_links(rows: DataFrame, params: JaccardParams) -> DataFrame:
     bits = kept.select("cls", "bitmap", (F.length("tokens") / 8).cast("int").alias("length"))
     postings = durable(postings.join(bits, "cls"))
     pairs = durable(tile_pairs(postings, params))
+    release_shuffles(rows.sparkSession)
     return links.unionByName(verify(pairs, kept, params))
 
 
@@ -442,5 +443,7 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams(),
     in_group = least.filter(F.col("component").isNotNull()).groupBy("component").agg(F.min("least").alias("group_least"))
     named = least.join(in_group, "component", "left").filter((F.col("n") > 1) | F.col("component").isNotNull())
     named = durable(named.select("cls", F.coalesce("group_least", "least").alias("component_id")))
+    del links, groups, least, in_group
+    release_shuffles(docs.sparkSession)
     out = classes.join(named, "cls", "left")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
