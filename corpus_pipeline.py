@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from masterlink.llm import decontaminate, jaccard, language, mixing, secrets
-from masterlink.llm.common import durable, small_batches
+from masterlink.llm.common import durable, release_shuffles, small_batches
 from masterlink.plans.durable import rewritten, shared_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -41,6 +41,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     known = small_batches(docs).select(*COLUMNS).withColumn("__doc", doc)
     groups = jaccard.jaccard_components(known, id_col="__doc").filter(F.col("__doc") == F.col("component_id"))
     kept = durable(groups.groupBy(F.col("__doc.digest").alias("__kept")).agg(F.count("*").alias("n")))
+    del groups
+    release_shuffles(spark)
     digest = known.select(*COLUMNS, F.col("__doc.digest").alias("__digest"))
     out = lambda side: digest.join(side.hint("shuffle_hash"), F.col("__digest") == F.col("__kept"), "left_semi")
     once = out(kept.filter("n = 1")).select(*COLUMNS)
