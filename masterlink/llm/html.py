@@ -22,8 +22,8 @@ by host. Repeated texts are counted exactly, by host and text. Wrappers are sent
 else they are joined to the pages by host.
 
 Edge cases: null or empty html gives the empty text; a page whose host is unknown, or the only one of its host, is read
-without a wrapper; unclosed elements end with what surrounds them; very long pages are read whole, and streams that differ in
-too many places are aligned greedily; repeated rows are treated alike; null keys pass; ties between elements go to the
+without a wrapper; unclosed elements end with what surrounds them; very long pages are read whole, and their streams
+are aligned by longest common subsequences like all others; repeated rows are treated alike; null keys pass; ties between elements go to the
 innermost; an empty table gives an empty result; other columns pass through (those named like the new ones are replaced).
 """
 
@@ -34,7 +34,6 @@ import json
 import marshal
 import re
 import zlib
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -84,7 +83,7 @@ class HtmlParams:
     lists: bool = True
     #: Texts that a slot remembers for people who read the wrapper; no decision rests on them.
     remembered: int = 6
-    #: Cells of a table of common subsequences; beyond, streams are aligned greedily.
+    #: Cells of a table of common subsequences that are held at once; beyond, rows are computed again, to the same result.
     most_cells: int = 1_000_000
     #: Shares of a host's shapes that are merged apart before the last merge.
     tree: int = 32
@@ -340,33 +339,72 @@ def grouped(items: list[list], bodies: set[tuple]) -> list[list]:
 
 
 def common_subsequence(a: tuple, b: tuple, most_cells: int) -> list[tuple[int, int]]:
-    """Places of a longest common subsequence; of some common one, in linear room, if the table would be too large."""
+    """Places of a longest common subsequence, the same one whatever `most_cells` is.
+
+    A row of the table is an integer: bit k from the end of b is unset where the subsequence of the rest of a and of b from
+    there on grows by one. If more bits than the room of most_cells cells are needed, rows are kept at intervals and those
+    between are computed again.
+    """
+    n, m = len(a), len(b)
+    number: dict = {}
+    ka, kb = ([number.setdefault(key, len(number)) for key in side] for side in (a, b))
+    places: dict[int, list[int]] = {}
+    for j, key in enumerate(kb):
+        places.setdefault(key, []).append(m - 1 - j)
+    masks: dict[int, int] = {}
+    full, most = (1 << m) - 1, max(2, 64 * most_cells // max(1, m))
+
+    def before(i: int, row: int) -> int:
+        """The row of a's places from i on, given that from i + 1 on."""
+        key = ka[i]
+        if (at := places.get(key)) is None:
+            return row
+        if (mask := masks.get(key)) is None:
+            bits = bytearray(m // 8 + 1)
+            for k in at:
+                bits[k >> 3] |= 1 << (k & 7)
+            if len(masks) >= most:
+                masks.clear()
+            mask = masks[key] = int.from_bytes(bits, "little")
+        met = row & mask
+        return ((row + met) | (row - met)) & full
+
+    def rows(lo: int, hi: int, row: int) -> Iterator[int]:
+        """Rows lo to hi - 1, given row hi."""
+        step = -(-(hi - lo) // most)
+        kept = []
+        for i in range(hi - 1, lo - 1, -1):
+            if (i + 1 - lo) % step == 0 or i == hi - 1:
+                kept.append((i + 1, row))
+            row = before(i, row)
+        if step == 1:
+            yield row
+            yield from (x for k, x in reversed(kept) if k < hi)
+            return
+        for k, x in reversed(kept):
+            yield from rows(lo, k, x)
+            lo = k
+
     out, i, j = [], 0, 0
-    if len(a) * len(b) > most_cells:
-        places: dict = {}
-        for k, key in enumerate(a):
-            places.setdefault(key, []).append(k)
-        for j, key in enumerate(b):
-            at = places.get(key, ())
-            # A far match would leave out all that lies before it.
-            if (k := bisect_left(at, i)) < len(at) and at[k] - i <= 1 + most_cells // len(b):
-                out.append((at[k], j))
-                i = at[k] + 1
-        return out
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        row, below = best[i], best[i + 1]
-        for j in range(len(b) - 1, -1, -1):
-            row[j] = below[j + 1] + 1 if a[i] == b[j] else max(below[j], row[j + 1])
-    i = j = 0
-    while i < len(a) and j < len(b):
-        if a[i] == b[j]:
-            out.append((i, j))
-            i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
-            i += 1
-        else:
-            j += 1
+    found = rows(0, n, full) if n and m else iter(())
+    packed = lambda row: row.to_bytes(m // 8 + 1, "little")
+    grows = lambda row, j: not row[(m - 1 - j) >> 3] >> ((m - 1 - j) & 7) & 1
+    rest = lambda row, j: m - j - (row & ((1 << (m - j)) - 1)).bit_count()
+    now = next(found, full)
+    here, left = packed(now), rest(now, 0)
+    while i < n and j < m and left:
+        below = next(found, full)
+        under, less = packed(below), rest(below, j)
+        while True:
+            if ka[i] == kb[j]:
+                out.append((i, j))
+                less -= grows(under, j)
+                j += 1
+                break
+            if less >= left - grows(here, j):
+                break
+            left, less, j = left - grows(here, j), less - grows(under, j), j + 1
+        i, here, left = i + 1, under, less
     return out
 
 

@@ -221,6 +221,29 @@ def test_long_streams_are_aligned_in_bounded_room():
     assert html.common_subsequence("abcde", "xbyde", 100) == [(1, 1), (3, 3), (4, 4)]
 
 
+def test_alignment_does_not_depend_on_the_room(spark):
+    """Streams longer than the table's room give the same subsequence, a longest one, and pages the same text."""
+    rng = random.Random(5)
+    for _ in range(200):
+        a, b = ([rng.randrange(rng.choice([2, 5, 20])) for _ in range(rng.randrange(60))] for _ in "ab")
+        length = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, j in itertools.product(range(len(a)), range(len(b))):
+            length[i + 1][j + 1] = length[i][j] + 1 if a[i] == b[j] else max(length[i][j + 1], length[i + 1][j])
+        whole = html.common_subsequence(tuple(a), tuple(b), 1_000_000)
+        assert len(whole) == length[-1][-1] and all(a[i] == b[j] for i, j in whole)
+        assert all(html.common_subsequence(tuple(a), tuple(b), cells) == whole for cells in (1, 7, 100))
+    # The reverse order of the sections' classes leaves few tags in common.
+    kinds = [f"s{chr(97 + k)}" for k in range(12)]
+    rows = []
+    for k in range(16):
+        order = rng.sample(kinds, 9)
+        sections = "".join(f"<section class='{c}'><h2>{c} {k}</h2><p>Text {c} {k}</p></section>" for c in order)
+        rows.append((k, f"http://h.com/{k}", f"<body><div class='top'><a>Home</a></div><div class='x'>{sections}</div><div class='low'><a>About {k}</a></div></body>"))
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    read = lambda **p: {r["page_id"]: r["main_text"] for r in html.extract_main_text(df, html.HtmlParams(lists=False, **p)).collect()}
+    assert read(most_cells=1) == read()
+
+
 # Chat
 
 
