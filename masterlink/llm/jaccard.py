@@ -13,6 +13,8 @@ between different sets is found:
 4. All tiles: by the prefix principle, a linked pair shares a shingle among each set's first size - needed + 1 ones
    in the order of rarity. Prefix shingles held under different labels form tiles by size band, with the band below as
    guests; tiles are compared inside one task, in pieces of bounded size, and give only pairs that are not connected yet.
+   A tile with more such pairs than rows, as large families of near copies make, gives no more than a tree of them: the
+   classes that such trees connect meet with their sets, are compared there, and give one link for each group they join.
 5. Pairs are compared by bitmaps first: each shingle flips one of 512 bits, so the bits in which two bitmaps differ are
    at most the set's symmetric difference, which bounds the overlap from above. Sorted arrays of the rest are intersected.
 6. Connected components over the verified links; copies join through their class.
@@ -55,6 +57,8 @@ class JaccardParams:
     #: Leading tokens by which first tiles are formed, and rows of a tile before it is split.
     keys: int = 2
     run_rows: int = 2000
+    #: Bytes of sets in a piece of a cluster of dense tiles.
+    piece_bytes: int = 16 << 20
 
 
 def doc_sets(texts: pa.Array, n: int, limit: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -309,14 +313,45 @@ def bound_of(bits: np.ndarray, lengths: np.ndarray, k: int, others: slice) -> np
     return (lengths[others] + lengths[k] - np.bitwise_count(bits[others] ^ bits[k]).sum(1, dtype=np.int64)) // 2
 
 
+def overlaps(a: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """The intersections' sizes of a sorted array of distinct values with others."""
+    flat, length = np.concatenate(others), np.array([len(x) for x in others])
+    at = np.searchsorted(a, flat)
+    at[at == len(a)] = 0
+    hits = np.concatenate(([0], np.cumsum(a[at] == flat)))
+    end = np.cumsum(length)
+    return hits[end] - hits[end - length]
+
+
+def connect(root: np.ndarray, arrays: list[np.ndarray], bits: np.ndarray, sizes: np.ndarray, pieces: np.ndarray | None, params: JaccardParams) -> None:
+    """Joins groups of rows in `root` (a row of each row's group) until no link between two groups is left.
+
+    Rows are in the order of their sizes. With pieces, only rows of different ones are compared.
+    """
+    lengths = np.array([len(x) for x in arrays])
+    for k in range(1, len(root)):
+        lo = int(np.searchsorted(sizes[:k], -(-params.num * int(sizes[k]) // params.den)))
+        fits = enough(bound_of(bits, lengths, k, slice(lo, k)), sizes[lo:k], sizes[k], params)
+        if pieces is not None:
+            fits &= pieces[lo:k] != pieces[k]
+        left, step = lo + np.flatnonzero(fits), 1
+        while (left := left[root[left] != root[k]]).size:
+            some, left = left[:step], left[step:]
+            for j in some[enough(overlaps(arrays[k], [arrays[j] for j in some]), sizes[some], sizes[k], params)]:
+                if root[j] != root[k]:
+                    root[root == root[k]] = root[j]
+            step = min(4 * step, 256)
+
+
 def leading_tiles(kept: DataFrame, params: JaccardParams) -> DataFrame:
     """Links (a, b) found in tiles of a leading token and size band: each class and the root of its group in a tile.
 
     A class's leading token is the first of its set in the order of a hash, one order for each key. A tile compares each
     class with those before it that are not connected to it yet. Large tiles are split at random, by another choice for
-    each key, so that the pieces of one key meet in another.
+    each key, so that the pieces of one key meet in another; bands, too, begin elsewhere for each key.
     """
-    rows = kept.select("cls", "size", "tokens", "bitmap", band(F.col("size"), params).alias("band"), F.posexplode("keys").alias("which", "key"))
+    rows = kept.select("cls", "size", "tokens", "bitmap", F.posexplode("keys").alias("which", "key"))
+    rows = rows.withColumn("band", band(F.col("size"), params, F.col("which") / params.keys))
     large = rows.groupBy("which", "key", "band").agg(F.count("*").alias("n")).filter(F.col("n") > params.run_rows)
     rows = rows.join(large, ["which", "key", "band"], "left")
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("cls", "which"), F.coalesce(F.ceil(F.col("n") / params.run_rows), F.lit(1)))).drop("n")
@@ -328,15 +363,8 @@ def leading_tiles(kept: DataFrame, params: JaccardParams) -> DataFrame:
                 continue
             arrays = [np.frombuffer(t, np.uint64) for t in tokens]
             bits = np.frombuffer(b"".join(bits), np.uint64).reshape(-1, BITS // 64)
-            sizes, lengths = np.array(size), np.array([len(x) for x in arrays])
             root = np.arange(len(cls))
-            for k in range(1, len(cls)):
-                open_ = enough(bound_of(bits, lengths, k, slice(0, k)), sizes[:k], sizes[k], params)
-                while (left := np.flatnonzero(open_ & (root[:k] != root[k]))).size:
-                    j = int(left[0])
-                    open_[j] = False
-                    if enough(overlap(arrays[j], arrays[k]), sizes[j], sizes[k], params):
-                        root[root == root[k]] = root[j]
+            connect(root, arrays, bits, np.array(size), None, params)
             moved = np.flatnonzero(root != np.arange(len(cls)))
             if len(moved):
                 ids = np.array(cls)
@@ -345,43 +373,100 @@ def leading_tiles(kept: DataFrame, params: JaccardParams) -> DataFrame:
     return rows.mapInArrow(apply, "a long, b long")
 
 
+def in_pieces(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Rows with `pieces`, dealt by keys and each pair p <= q of pieces, in the order of size."""
+    rows = rows.withColumn("piece", F.pmod(F.xxhash64("cls"), F.col("pieces")).cast("int"))
+    other = F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda t: F.struct(F.least("piece", t).alias("p"), F.greatest("piece", t).alias("q")))
+    rows = rows.select(*keys, *columns, "piece", F.inline(other))
+    return rows.repartition(*keys, "p", "q").sortWithinPartitions(*keys, "p", "q", "size", "cls")
+
+
 def tile_pairs(postings: DataFrame, params: JaccardParams) -> DataFrame:
-    """Pairs (a, b) of classes of different groups that meet in a tile and whose bitmaps allow a link.
+    """Pairs (a, b, dense) of classes of different groups that meet in a tile and whose bitmaps allow a link.
 
     A tile holds the classes of one token and size band, and, marked as guests, those of the band below. A large tile is
-    cut into pieces, and pairs of pieces are compared; a task holds two pieces.
+    cut into pieces, and pairs of pieces are compared; a task holds two pieces. Where a tile has more pairs than rows, it is
+    dense: it gives only as many pairs as connect the classes of all of its pairs.
     """
     guests = postings.withColumn("band", F.col("band") + 1).withColumn("guest", F.lit(True))
     rows = postings.withColumn("guest", F.lit(False)).unionByName(guests)
     sizes = rows.groupBy("token", "band").agg(F.count("*").alias("n"), F.count_if(~F.col("guest")).alias("own"), F.min("label").alias("lo"), F.max("label").alias("hi"))
     sizes = sizes.filter("n > 1 AND own > 0 AND lo < hi").select("token", "band", F.ceil(F.col("n") / params.run_rows).cast("int").alias("pieces"))
-    rows = rows.join(sizes, ["token", "band"]).withColumn("piece", F.pmod(F.xxhash64("cls"), F.col("pieces")).cast("int"))
-    other = F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda t: F.struct(F.least("piece", t).alias("p"), F.greatest("piece", t).alias("q")))
-    rows = rows.select("token", "band", "cls", "size", "label", "bitmap", "length", "guest", "piece", F.inline(other))
-    rows = rows.repartition("token", "band", "p", "q").sortWithinPartitions("token", "band", "p", "q", "size", "cls")
+    rows = in_pieces(rows.join(sizes, ["token", "band"]), ["token", "band"], ["cls", "size", "label", "bitmap", "length", "guest"])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[tuple[int, int]] = set()  # pairs that this task has given already; forgetting some only repeats them
+        # Pairs that this task has given already, and groups that its dense pairs connect; forgetting some only repeats them.
+        done: set[tuple[int, int]] = set()
+        parent: dict[int, int] = {}
+
+        def group(x: int) -> int:
+            while (up := parent.get(x, x)) != x:
+                parent[x] = x = parent.get(up, up)
+            return x
+
         for cls, size, label, bits, length, guest, piece, p, q in sorted_runs(batches, ("token", "band", "p", "q"), ("cls", "size", "label", "bitmap", "length", "guest", "piece", "p", "q")):
             ids, sizes, labels, lengths, guests, pieces = map(np.array, (cls, size, label, length, guest, piece))
             bits = np.frombuffer(b"".join(bits), np.uint64).reshape(-1, BITS // 64)
-            out: list[tuple[int, int]] = []
+            root = np.arange(len(ids))
+            first: list[tuple[int, int]] = []  # the tile's pairs, while it is not dense
+            tree: list[tuple[int, int]] = []  # those that connect all
+            number = 0
             for k in range(1, len(ids)):
                 fits = enough(bound_of(bits, lengths, k, slice(0, k)), sizes[:k], sizes[k], params)
                 fits &= (labels[:k] != labels[k]) & ~(guests[:k] & guests[k])
                 if p[0] != q[0]:
                     fits &= pieces[:k] != pieces[k]
-                for j in np.flatnonzero(fits):
-                    pair = (min(int(ids[j]), int(ids[k])), max(int(ids[j]), int(ids[k])))
-                    if pair not in done:
-                        out.append(pair)
-                        done.add(pair)
+                found = np.flatnonzero(fits)
+                number += len(found)
+                if number <= len(ids):
+                    first += [(int(j), k) for j in found]
+                for r in np.unique(root[found]):
+                    if r != root[k]:
+                        tree.append((int(r), k))
+                        root[root == root[k]] = r
+            dense = number > len(ids)
+            out: list[tuple[int, int]] = []
+            for j, k in tree if dense else first:
+                a, b = sorted((int(ids[j]), int(ids[k])))
+                if dense and (x := group(a)) != (y := group(b)):
+                    parent[x] = y
+                    out.append((a, b))
+                elif not dense and (a, b) not in done:
+                    done.add((a, b))
+                    out.append((a, b))
             if len(done) > 1_000_000:
                 done.clear()
+            if len(parent) > 1_000_000:
+                parent.clear()
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([dense] * len(out))], names=["a", "b", "dense"])
+
+    return rows.mapInArrow(apply, "a long, b long, dense boolean").distinct()
+
+
+def cluster_links(clusters: DataFrame, label: DataFrame, kept: DataFrame, params: JaccardParams) -> DataFrame:
+    """Links (a, b) that connect all linked classes inside each of the clusters (node, component).
+
+    A cluster's classes meet with their sets in one task, in pieces of bounded rows and bytes of which a task holds two.
+    """
+    sets = kept.select("cls", "size", "tokens", "bitmap").join(label.select("cls", "label"), "cls")
+    rows = clusters.select(F.col("node").alias("cls"), F.col("component").alias("cluster"))
+    bytes_of = rows.join(kept.select("cls", F.length("tokens").cast("long").alias("n")), "cls").groupBy("cluster").agg(F.count("*").alias("rows"), F.sum("n").alias("bytes"))
+    pieces = bytes_of.select("cluster", F.ceil(F.greatest(F.col("rows") / params.run_rows, F.col("bytes") / params.piece_bytes)).cast("int").alias("pieces"))
+    rows = in_pieces(small_batches(rows).join(pieces, "cluster").join(sets, "cls"), ["cluster"], ["cls", "size", "tokens", "bitmap", "label"])
 
-    return rows.mapInArrow(apply, "a long, b long").distinct()
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cls, size, tokens, bits, label, piece, p, q in sorted_runs(batches, ("cluster", "p", "q"), ("cls", "size", "tokens", "bitmap", "label", "piece", "p", "q")):
+            ids, arrays = np.array(cls), [np.frombuffer(t, np.uint64) for t in tokens]
+            bits = np.frombuffer(b"".join(bits), np.uint64).reshape(-1, BITS // 64)
+            _, first, which = np.unique(np.array(label), return_index=True, return_inverse=True)
+            root = first[which]
+            connect(root, arrays, bits, np.array(size), np.array(piece) if p[0] != q[0] else None, params)
+            moved = first[root[first] != first]
+            if len(moved):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(ids[root[moved]])], names=["a", "b"])
+
+    return rows.mapInArrow(apply, "a long, b long")
 
 
 def verify(pairs: DataFrame, kept: DataFrame, params: JaccardParams) -> DataFrame:
@@ -404,9 +489,9 @@ def verify(pairs: DataFrame, kept: DataFrame, params: JaccardParams) -> DataFram
     return rows.mapInArrow(apply, "a long, b long")
 
 
-def band(size: Column, params: JaccardParams) -> Column:
+def band(size: Column, params: JaccardParams, shift: Column | float = 0.0) -> Column:
     """Linked sets lie in the same size band or in adjacent ones."""
-    return F.floor(F.log(size) / F.log(F.lit(params.den / params.num)) + 1e-9).cast("int")
+    return F.floor(F.log(size) / F.log(F.lit(params.den / params.num)) + shift + 1e-9).cast("int")
 
 
 def class_links(rows: DataFrame, params: JaccardParams) -> DataFrame:
@@ -427,7 +512,11 @@ def class_links(rows: DataFrame, params: JaccardParams) -> DataFrame:
     bits = kept.select("cls", "bitmap", (F.length("tokens") / 8).cast("int").alias("length"))
     postings = durable(postings.join(bits, "cls"))
     pairs = durable(tile_pairs(postings, params))
-    return links.unionByName(verify(pairs, kept, params))
+    links = links.unionByName(verify(pairs.filter("NOT dense").select("a", "b"), kept, params))
+    dense = pairs.filter("dense").select("a", "b")
+    if not dense.limit(1).count():
+        return links
+    return links.unionByName(cluster_links(connected_components(dense), label.select("cls", F.coalesce("component", "cls").alias("label")), kept, params))
 
 
 def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

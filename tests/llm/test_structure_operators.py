@@ -369,6 +369,29 @@ def test_components_against_all_pairs(spark, seed, words, params):
     assert len({c for _, _, c in want}) < len(rows) - 20
 
 
+@pytest.mark.parametrize("params", [{}, {"keys": 1}, {"keys": 1, "run_rows": 40}, {"keys": 1, "piece_bytes": 20_000}])
+def test_large_families_give_few_pairs(spark, monkeypatch, params):
+    """Near copies on both sides of a size band's border are all linked, by no more pairs than a multiple of their number."""
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(61)]
+    rows = [(k, " ".join([f"own{k}", *base[1 : 60 + k % 2]])) for k in range(240)]
+    rows += [(1000 + k, " ".join(w if rng.random() < 0.97 else f"x{rng.randrange(10**6)}" for w in base)) for k in range(120)]
+    most = []
+    cut = jaccard.durable
+
+    def durable(df):
+        df = cut(df)
+        if df.columns[:2] == ["a", "b"]:
+            most.append(df.count())
+        return df
+
+    monkeypatch.setattr(jaccard, "durable", durable)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(df, jaccard.JaccardParams(**params)).collect())
+    assert got == brute_components(rows)
+    assert max(most) < 12 * len(rows)
+
+
 def test_bitmap_bounds_the_overlap_from_above():
     rng = np.random.default_rng(3)
     for _ in range(300):
