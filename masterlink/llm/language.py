@@ -16,6 +16,7 @@ than the key and the text are ignored.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections.abc import Iterator
@@ -202,7 +203,8 @@ def log_softmax(z: np.ndarray) -> np.ndarray:
 def train_language_model(docs: DataFrame, eligible: Column | None = None, params: LanguageParams = LanguageParams(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Fit on at most rows_per_language rows of each language, chosen by a hash of the key among the eligible rows.
 
-    The row counts per language come from the whole table; the sample's size doesn't grow with it.
+    The row counts per language come from the whole table; the sample's size doesn't grow with it. The sample's texts meet
+    in a task, not in the driver.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), (eligible if eligible is not None else F.lit(True)).alias("ok"))
     rows = rows.filter(F.col("ok") & F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -213,9 +215,17 @@ def train_language_model(docs: DataFrame, eligible: Column | None = None, params
     share = F.lit(0.0)
     for lang in langs:
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, 1.1 * params.rows_per_language / counts[lang]))).otherwise(share)
-    sample = rows.filter(hash_fraction(F.struct("id", "text"), params.seed) < share).limit(2 * params.rows_per_language * len(langs)).select("id", "text", "lang").collect()
-    sample.sort(key=lambda r: (zlib.crc32(repr(r["id"]).encode()), r["id"] or 0, r["text"]))
-    return LanguageModel(langs, params).fit([r["text"] for r in sample], [r["lang"] for r in sample])
+    sample = rows.filter(hash_fraction(F.struct("id", "text"), params.seed) < share).limit(2 * params.rows_per_language * len(langs)).select("id", "text", "lang")
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [row for b in batches for row in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True)]
+        found.sort(key=lambda r: (zlib.crc32(repr(r[0]).encode()), repr(r[0]), r[1]))
+        model = LanguageModel(langs, params).fit([r[1] for r in found], [r[2] for r in found])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    # The limit leaves one partition, so one task fits; the driver gets the model, whose size the parameters fix.
+    fitted = small_batches(sample).mapInArrow(fit, "model binary").collect()
+    return pickle.loads(bytes(fitted[0]["model"])) if fitted else LanguageModel(langs, params)
 
 
 def identify_language(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

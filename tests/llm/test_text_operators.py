@@ -92,6 +92,19 @@ def test_language_edge_cases(spark):
     assert language.identify_language(df.limit(0), model).count() == 0
 
 
+def test_language_is_not_fitted_in_the_driver(spark, docs, monkeypatch):
+    """Its memory would hold all texts of the sample; tasks have their own module, so only the driver's is barred here."""
+
+    def barred(*args):
+        raise AssertionError("fitted in the driver")
+
+    monkeypatch.setattr(language.LanguageModel, "fit", barred)
+    model = language.train_language_model(docs)
+    assert len(model.langs) > 1 and model.out.any() and 0 < model.threshold <= 1
+    assert model.predict([docs.filter("lang = 'en' AND n_chars > 200").head()["text"]])[0][0] == "en"
+
+
+
 # Quality
 
 
